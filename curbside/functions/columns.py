@@ -31,8 +31,13 @@ def week_start(ts: Column, first_weekday: int = 0) -> Column:
     return F.date_add(F.trunc(shifted, "week"), first_weekday).cast("timestamp_ntz")
 
 
+def _exact_seconds(start: Column, end: Column) -> Column:
+    """Elapsed seconds with microseconds as a decimal; no zone arithmetic."""
+    return (end - start).cast("interval second").cast("decimal(18,6)")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
+    return _exact_seconds(start, end).cast("double")
 
 
 def minutes_between(start: Column, end: Column) -> Column:
@@ -41,7 +46,7 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 def epoch_millis(ts: Column) -> Column:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MILLISECOND", epoch, ts)
+    return F.floor(_exact_seconds(epoch, ts) * 1000).cast("bigint")
 
 
 def iso_format(ts: Column) -> Column:
@@ -98,8 +103,7 @@ def safe_cast(value: Column, source: T.DataType, target: T.DataType, name: str =
 
 def right_closed_bin(value: Column, edges: list[float]) -> Column:
     """Index of the bin ``(edges[i], edges[i + 1]]``; null outside all bins."""
-    chain = None
-    for i, (low, high) in enumerate(zip(edges, edges[1:])):
-        inside = (value > low) & (value <= high)
-        chain = F.when(inside, i) if chain is None else chain.when(inside, i)
+    chain = F.when(value <= edges[0], None)
+    for i, high in enumerate(edges[1:]):
+        chain = chain.when(value <= high, i)
     return chain

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from curbside.operators.quantiles import approx_quantile, quantile_brackets, quantiles_of, rank_summary
+from curbside.operators.quantiles import approx_quantile, describe, quantile_brackets, rank_summary
 
 # Profiled columns, and those each feed has.
 COLUMNS = ("passengers", "distance", "trip_time", "fee_fare", "fee_tip", "fee_total")
@@ -32,18 +32,8 @@ def melt(df: DataFrame, label: str, columns: Sequence[str] = COLUMNS,
     return long.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
 
 
-def _moments():
-    return [
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        (1 - F.count("value") / F.count(F.lit(1))).alias("frac_null"),
-    ]
-
-
-def _with_quartiles(stats: DataFrame, label: str, quartiles: str) -> DataFrame:
-    q = F.col(quartiles)
+def _with_quartiles(stats: DataFrame, label: str) -> DataFrame:
+    q = F.col("quantiles")
     return stats.select(
         label, "col", "mean", "std", "min", "max", "frac_null",
         q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), (q[2] - q[0]).alias("iqr"),
@@ -52,22 +42,30 @@ def _with_quartiles(stats: DataFrame, label: str, quartiles: str) -> DataFrame:
 
 def colstats(df: DataFrame, label: str = "dataset", columns: Sequence[str] = COLUMNS,
              present: Mapping[str, Sequence[str]] | None = PRESENT, accuracy: int = 1000) -> DataFrame:
-    """Mean, sample deviation, range, null share and exact quartiles per (feed, column)."""
+    """Mean, sample deviation, range, null share and exact quartiles per (feed, column).
+
+    Two passes: a sketch brackets the quartiles, then one compact rank summary gives everything.
+    """
     keys = [label, "col"]
     long = melt(df, label, columns, present)
-    brackets = quantile_brackets(long, keys, "value", QUARTILES, accuracy, _moments())
-    quartiles = quantiles_of(rank_summary(long, keys, "value", brackets), keys, QUARTILES)
-    return _with_quartiles(brackets.join(quartiles, keys, "left"), label, "quantiles")
+    brackets = quantile_brackets(long, keys, "value", QUARTILES, accuracy)
+    stats = describe(rank_summary(long, keys, "value", brackets, len(QUARTILES)), keys, QUARTILES)
+    share = 1 - F.col("n") / (F.col("n") + F.col("nulls"))
+    return _with_quartiles(stats.withColumn("frac_null", share), label)
 
 
 def colstats_approx(df: DataFrame, label: str = "dataset", columns: Sequence[str] = COLUMNS,
                     present: Mapping[str, Sequence[str]] | None = PRESENT, accuracy: int = 10_000) -> DataFrame:
     """The same in one pass with sketch quartiles."""
-    long = melt(df, label, columns, present)
-    stats = long.groupBy(label, "col").agg(
-        *_moments(), approx_quantile(F.col("value"), QUARTILES, accuracy).alias("quantiles")
+    stats = melt(df, label, columns, present).groupBy(label, "col").agg(
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        (1 - F.count("value") / F.count(F.lit(1))).alias("frac_null"),
+        approx_quantile(F.col("value"), QUARTILES, accuracy).alias("quantiles"),
     )
-    return _with_quartiles(stats, label, "quantiles")
+    return _with_quartiles(stats, label)
 
 
 def as_intervals(stats: DataFrame, col: str = "trip_time", label: str = "dataset") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curbside.functions.columns import map_values, right_closed_bin, seconds_between
-from curbside.operators.quantiles import quantile_brackets, quantiles_of, rank_summary
+from curbside.operators.quantiles import quantile_brackets, rank_summary, with_quantile
 
 # Payment type names; rows without a type count as 5.
 PAYMENT_NAMES = {
@@ -47,9 +47,10 @@ def payment_types(trips: DataFrame, label: str = "label") -> DataFrame:
 
 def trip_time_bins(trips: DataFrame, label: str = "label") -> DataFrame:
     """Rides per (label, duration bin); trips without a positive duration or a label drop out."""
-    seconds = seconds_between(F.col("pu_dt"), F.col("do_dt"))
-    binned = trips.select(label, right_closed_bin(seconds, DURATION_EDGES).alias("bin_order")).dropna()
-    counts = binned.groupBy(label, "bin_order").agg(F.count(F.lit(1)).alias("n"))
+    positive = trips.filter(F.col(label).isNotNull() & (F.col("do_dt") > F.col("pu_dt")))
+    timed = positive.select(label, seconds_between(F.col("pu_dt"), F.col("do_dt")).alias("_seconds"))
+    bin_order = right_closed_bin(F.col("_seconds"), DURATION_EDGES)
+    counts = timed.groupBy(label, bin_order.alias("bin_order")).agg(F.count(F.lit(1)).alias("n"))
     names = map_values(F.col("bin_order"), dict(enumerate(DURATION_NAMES)))
     return counts.select(label, "bin_order", names.alias("time"), "n")
 
@@ -86,17 +87,15 @@ def fare_tip_curve(trips: DataFrame, label: str = "label", quantile: float = 0.9
     """Mean tip per (label, fare bucket) of the tips strictly below the bucket's quantile.
 
     The exact quantile and the mean both come from one compact rank summary: the trips are read
-    twice, and only tips near the quantile leave the map side one by one.
+    twice, and only tips near the quantile leave the map side one by one. Rows without a label
+    belong to no curve.
     """
     keys = [label, "fare"]
     buckets = fare_buckets(trips, label)
     brackets = quantile_brackets(buckets, keys, "fee_tip", [quantile], accuracy)
-    summary = rank_summary(buckets, keys, "fee_tip", brackets)
-    limits = quantiles_of(summary, keys, [quantile]).select(
-        *keys, F.col("quantiles")[0].alias("tip_max")
-    )
+    summary = rank_summary(buckets, keys, "fee_tip", brackets, 1)
     return (
-        summary.join(limits, keys)
+        with_quantile(summary, keys, quantile, "tip_max")
         .filter(F.col("hi") < F.col("tip_max"))
         .groupBy(*keys)
         .agg((F.sum("total") / F.sum("n")).alias("tip"), F.sum("n").alias("n"))

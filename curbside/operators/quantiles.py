@@ -43,36 +43,31 @@ def sketch_quantile(sketch: Column | str, quantile: float) -> Column:
 
 
 def quantile_brackets(df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float],
-                      accuracy: int = 1000, extra: Sequence[Column] = ()) -> DataFrame:
-    """Per group, a low and a high cut around every quantile, plus any further aggregates.
+                      accuracy: int = 1000) -> DataFrame:
+    """Per group, a low and a high cut around every quantile.
 
     One pass; the result has one row per group and is written to the shared folder, so it is
     neither computed twice nor lost with an executor.
     """
     margin = 2.0 / accuracy
     cuts = [p for q in sorted(quantiles) for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    return checkpointed(
-        df.groupBy(*keys).agg(F.percentile_approx(value, cuts, accuracy).alias("_cuts"), *extra)
-    )
+    return checkpointed(df.groupBy(*keys).agg(F.percentile_approx(value, cuts, accuracy).alias("_cuts")))
 
 
-def rank_summary(df: DataFrame, keys: Sequence[str], value: str, brackets: DataFrame) -> DataFrame:
-    """Groups reduced to value ranges in order: keys, lo, hi, n, total.
+def rank_summary(df: DataFrame, keys: Sequence[str], value: str, brackets: DataFrame, pairs: int) -> DataFrame:
+    """Groups reduced to value ranges in order: keys, lo, hi, n, total and squared spread.
 
-    A value inside a bracket keeps a row of its own; all values between two brackets share one.
+    A value inside one of the ``pairs`` brackets keeps a row of its own; all values between two
+    brackets share one, and so do the nulls.
     """
-    cuts = brackets.select(*keys, "_cuts")
-    pairs = _bracket_count(brackets)
     v = F.col(value)
     inside = F.lit(False)
     above = F.lit(0)
     for j in range(pairs):
         inside = inside | v.between(F.col("_cuts")[2 * j], F.col("_cuts")[2 * j + 1])
         above = above + (v > F.col("_cuts")[2 * j + 1]).cast("int")
-    placed = (
-        df.filter(v.isNotNull())
-        .join(small_side(cuts), list(keys))
-        .select(*keys, v.alias("_v"), above.alias("_gap"), F.when(inside, v).alias("_point"))
+    placed = df.join(small_side(brackets), list(keys)).select(
+        *keys, v.alias("_v"), above.alias("_gap"), F.when(inside, v).alias("_point")
     )
     return (
         placed.groupBy(*keys, "_gap", "_point")
@@ -81,48 +76,93 @@ def rank_summary(df: DataFrame, keys: Sequence[str], value: str, brackets: DataF
             F.max("_v").alias("hi"),
             F.count(F.lit(1)).alias("n"),
             F.sum("_v").alias("total"),
+            (F.var_pop("_v") * F.count("_v")).alias("spread"),
         )
         .drop("_gap", "_point")
     )
 
 
-def _bracket_count(brackets: DataFrame) -> int:
-    widest = brackets.select(F.max(F.size("_cuts"))).first()[0]
-    return (widest or 0) // 2
+def _ranked(summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rank range of every summary row within its group; nulls come last and have no ranks."""
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy(F.col("lo").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.when(F.col("lo").isNotNull(), F.col("n"))
+    return summary.withColumns({"_end": F.sum(known).over(upto), "_all": F.sum(known).over(group)}).withColumn(
+        "_start", F.when(F.col("lo").isNotNull(), F.col("_end") - F.col("n"))
+    )
+
+
+def _position(quantile: float) -> Column:
+    return (F.col("_all") - 1) * F.lit(float(quantile))
+
+
+def _value_at(rank: Column) -> Column:
+    """The value with this rank, on the one row that holds it."""
+    value = (
+        F.when((F.col("lo") == F.col("hi")) | (rank == F.col("_start")), F.col("lo"))
+        .when(rank == F.col("_end") - 1, F.col("hi"))
+        .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    )
+    return F.when((F.col("_start") <= rank) & (rank < F.col("_end")), value)
 
 
-def quantiles_of(summary: DataFrame, keys: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
-    """Exact linearly interpolated quantiles of every group, as an array in the given order.
+def _between(low: Column, high: Column, position: Column) -> Column:
+    return low + (high - low) * (position - F.floor(position))
 
-    A rank that falls between two brackets fails the job rather than giving a wrong value.
+
+def with_quantile(summary: DataFrame, keys: Sequence[str], quantile: float, name: str) -> DataFrame:
+    """The summary with its group's exact quantile on every row."""
+    group, position = Window.partitionBy(*keys), _position(quantile)
+    low = F.max(_value_at(F.floor(position))).over(group)
+    high = F.max(_value_at(F.ceil(position))).over(group)
+    ranked = _ranked(summary, keys).withColumns({"_low": low, "_high": high})
+    found = _between(F.col("_low"), F.col("_high"), position)
+    return ranked.withColumn(name, found).drop("_end", "_all", "_start", "_low", "_high")
+
+
+def describe(summary: DataFrame, keys: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
+    """Every group's exact statistics from its rank summary.
+
+    Columns: keys, n, nulls, mean, std (sample), min, max and the linearly interpolated
+    ``quantiles`` as an array in the given order. A rank that falls between two brackets fails the
+    job rather than giving a wrong value.
     """
     group = Window.partitionBy(*keys)
-    upto = group.orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = summary.withColumns({"_end": F.sum("n").over(upto), "_all": F.sum("n").over(group)})
-    ranked = ranked.withColumn("_start", F.col("_end") - F.col("n"))
-
-    def at(rank: Column) -> Column:
-        here = (F.col("_start") <= rank) & (rank < F.col("_end"))
-        value = (
-            F.when((F.col("lo") == F.col("hi")) | (rank == F.col("_start")), F.col("lo"))
-            .when(rank == F.col("_end") - 1, F.col("hi"))
-            .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-        )
-        return F.max(F.when(here, value))
-
-    aggs, out = [F.max("_all").alias("_all")], []
-    for i, q in enumerate(quantiles):
-        position = (F.col("_all") - 1) * F.lit(float(q))
-        aggs += [at(F.floor(position)).alias(f"_a{i}"), at(F.ceil(position)).alias(f"_b{i}")]
-        low, high = F.col(f"_a{i}"), F.col(f"_b{i}")
-        out.append(low + (high - low) * (position - F.floor(position)))
-    return ranked.groupBy(*keys).agg(*aggs).select(*keys, F.array(*out).alias("quantiles"))
+    known = F.col("lo").isNotNull()
+    mean = F.sum("total").over(group) / F.col("_all")
+    offset = F.col("total") / F.col("n") - F.col("_mean")
+    aggs = [
+        F.max("_all").alias("_all"),
+        F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("nulls"),
+        F.max("_mean").alias("mean"),
+        F.sum(F.when(known, F.col("spread") + F.col("n") * offset * offset)).alias("_squares"),
+        F.min("lo").alias("min"),
+        F.max("hi").alias("max"),
+    ]
+    found = []
+    for i, quantile in enumerate(quantiles):
+        position = _position(quantile)
+        aggs.append(F.max(_value_at(F.floor(position))).alias(f"_low{i}"))
+        aggs.append(F.max(_value_at(F.ceil(position))).alias(f"_high{i}"))
+        found.append(_between(F.col(f"_low{i}"), F.col(f"_high{i}"), position))
+    return _ranked(summary, keys).withColumn("_mean", mean).groupBy(*keys).agg(*aggs).select(
+        *keys,
+        F.coalesce("_all", F.lit(0)).alias("n"),
+        "nulls",
+        "mean",
+        F.when(F.col("_all") > 1, F.sqrt(F.col("_squares") / (F.col("_all") - 1))).alias("std"),
+        "min",
+        "max",
+        F.when(F.col("_all") > 0, F.array(*found)).alias("quantiles"),
+    )
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float],
                     accuracy: int = 1000) -> DataFrame:
+    """Exact linearly interpolated quantiles per group, as an array; null for all-null groups."""
     brackets = quantile_brackets(df, keys, value, quantiles, accuracy)
-    return quantiles_of(rank_summary(df, keys, value, brackets), keys, quantiles)
+    summary = rank_summary(df, keys, value, brackets, len(quantiles))
+    return describe(summary, keys, quantiles).select(*keys, "quantiles")
 
 
 def rank_error(df: DataFrame, keys: Sequence[str], value: str, found: DataFrame,

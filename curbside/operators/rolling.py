@@ -38,13 +38,13 @@ def trailing_stats(events: DataFrame, key: str, ts: str, window_seconds: int,
     moved one window ahead. So a key is spread over as many tasks as it has panes, each
     event is touched a constant number of times, and nothing is subtracted.
     """
-    size = F.lit(window_seconds * 1_000_000)
+    size = F.lit(window_seconds * 1_000_000).cast("bigint")
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     placed = usable(events, values).filter(F.col(key).isNotNull() & (F.col(key) != "")).select(
         key, ts, *keep, *values, F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift"), micros.alias("_t")
     )
     placed = placed.withColumn("_t", F.col("_t") + F.col("_shift") * size)
-    placed = placed.withColumn("_pane", F.floor(F.col("_t") / size))
+    placed = placed.withColumn("_pane", F.col("_t") - F.pmod("_t", size))
     pane = Window.partitionBy(key, "_pane")
     ahead = pane.orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     back = pane.orderBy(F.col("_t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from curbside.functions.columns import map_values, period_start, week_start
+from curbside.functions.columns import map_values, week_start
 from curbside.operators.anomaly import zone_ends
 
 LABELS = ("yellow", "green", "fhv_small", "fhv_big")
@@ -24,26 +24,31 @@ SPLIT = datetime(2020, 4, 1)
 
 
 def rides_by_period(trips: DataFrame, unit: str, label: str, ts: str = "pu_dt") -> DataFrame:
-    """Rides per (period, label); rows without a time or a label are left out."""
-    return (
+    """Rides per (period, label); rows without a time or a label are left out.
+
+    Rows are grouped by date (and hour), and only the groups are turned into timestamps.
+    """
+    day = F.to_date(ts)
+    parts = [day.alias("_day"), F.hour(ts).alias("_hour")] if unit == "hour" else [
+        (day if unit == "day" else F.trunc(day, unit)).alias("_day"), F.lit(0).alias("_hour")
+    ]
+    counted = (
         trips.filter(F.col(ts).isNotNull() & F.col(label).isNotNull())
-        .groupBy(period_start(F.col(ts), unit).alias(unit), label)
+        .groupBy(*parts, label)
         .agg(F.count(F.lit(1)).alias("volume"))
     )
+    start = F.col("_day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("_hour"))
+    return counted.select(start.alias(unit), label, "volume")
 
 
 def day_profile(hourly: DataFrame, label: str = "label", side: list[str] = ()) -> DataFrame:
     """Average share of a day's rides by hour of day and label.
 
     Shares are of the day's rides over all labels; hours without rides count as zero. Input is
-    the hourly volume, so windows and distinct counts run over hours, not trips.
+    the hourly volume, so the windows run over hours, not trips.
     """
-    by = list(side)
-    day = hourly.withColumn("day", period_start(F.col("hour"), "day"))
-    total = F.sum("volume").over(Window.partitionBy(*by, "day"))
-    shares = day.withColumn("share", F.col("volume") / total)
-    summed = shares.groupBy(*by, F.hour("hour").alias("hour"), label).agg(F.sum("share").alias("share"))
-    return _per_datapoint(summed, day, by, "day", ["hour", label])
+    days = hourly.withColumns({"_period": F.to_date("hour"), "_slot": F.hour("hour")})
+    return _average_share(days, label, list(side), "hour")
 
 
 def week_profile(hourly: DataFrame, label: str = "label", side: list[str] = (),
@@ -52,27 +57,32 @@ def week_profile(hourly: DataFrame, label: str = "label", side: list[str] = (),
 
     Weeks run Tuesday to Monday by default.
     """
-    by = list(side)
-    daily = hourly.groupBy(*by, period_start(F.col("hour"), "day").alias("day"), label).agg(
-        F.sum("volume").alias("volume")
+    daily = hourly.groupBy(*side, F.to_date("hour").alias("_day"), label).agg(F.sum("volume").alias("volume"))
+    weeks = daily.withColumns({
+        "_period": week_start(F.col("_day"), first_weekday),
+        "_slot": F.weekday("_day"),
+    })
+    return _average_share(weeks, label, list(side), "weekday")
+
+
+def _average_share(rows: DataFrame, label: str, side: list[str], slot: str) -> DataFrame:
+    """Sum of the shares per (slot, label) over the number of distinct periods of the side.
+
+    The first row of a period carries the period's count of one, so the periods are counted on
+    the way and the volume is read once.
+    """
+    period = Window.partitionBy(*side, "_period")
+    first = F.row_number().over(period.orderBy("_slot", label)) == 1
+    shares = rows.withColumns({
+        "_share": F.col("volume") / F.sum("volume").over(period),
+        "_first": first.cast("int"),
+    })
+    summed = shares.groupBy(*side, F.col("_slot").alias(slot), label).agg(
+        F.sum("_share").alias("_share"), F.sum("_first").alias("_firsts")
     )
-    weekly = daily.withColumn("week", week_start(F.col("day"), first_weekday))
-    total = F.sum("volume").over(Window.partitionBy(*by, "week"))
-    shares = weekly.withColumn("share", F.col("volume") / total)
-    summed = shares.groupBy(*by, F.weekday("day").alias("weekday"), label).agg(F.sum("share").alias("share"))
-    return _per_datapoint(summed, weekly, by, "week", ["weekday", label])
-
-
-def _per_datapoint(summed: DataFrame, rows: DataFrame, by: list[str], period: str, keys: list[str]) -> DataFrame:
-    """Divide summed shares by the number of distinct periods seen (per side, if there are sides)."""
-    seen = rows.select(*by, period).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    if by:
-        joined = summed.join(F.broadcast(seen), by)
-    else:
-        joined = summed.withColumn("_one", F.lit(1)).join(
-            F.broadcast(seen.withColumn("_one", F.lit(1))), "_one"
-        )
-    return joined.select(*by, *keys, (F.col("share") / F.col("n")).alias("volume"))
+    # One row per (side, slot, label).
+    periods = F.sum("_firsts").over(Window.partitionBy(*side) if side else Window.partitionBy(F.lit(0)))
+    return summed.select(*side, slot, label, (F.col("_share") / periods).alias("volume"))
 
 
 def with_side(hourly: DataFrame, split: datetime = SPLIT) -> DataFrame:

@@ -36,10 +36,10 @@ def zones_right_join(df: DataFrame, zones: DataFrame, key: str = "locid") -> Dat
     return attributes.join(df, F.col("_zone_key") == F.col(key), "right").drop("_zone_key")
 
 
-def with_boroughs(df: DataFrame, zones: DataFrame) -> DataFrame:
+def with_boroughs(df: DataFrame, zones: DataFrame, ends: tuple[str, ...] = ("pu", "do")) -> DataFrame:
     """Pickup and dropoff borough by id lookup, null where unknown. Works on streams too."""
     lookup = small_side(zones.select("locid", "borough"))
-    for end in ("pu", "do"):
+    for end in ends:
         side = lookup.select(F.col("locid").alias(f"_{end}"), F.col("borough").alias(f"{end}_borough"))
         df = df.join(side, F.col(f"{end}_locid") == F.col(f"_{end}"), "left").drop(f"_{end}")
     return df

@@ -548,6 +548,7 @@ def oracle_sql() -> dict[str, str]:
             "MAX(epoch_us(pu_dt) // 1000) AS last_ms FROM trip_events GROUP BY 1")),
         "rolling_stats_batch": _rolling(15),
         "rolling_stats_batch_6h": _rolling(360),
+        "rolling_stats_latest": using("trip_events", query=_latest("pu_borough")),
         "rolling_stats_borough": using("trip_events", query=_latest("pu_borough")),
         "rolling_stats_top_zones": using("trip_events", query=(
             f"SELECT * FROM (SELECT pu_locid, COUNT(*) AS seen FROM trip_events GROUP BY 1 ORDER BY seen DESC, pu_locid LIMIT 10) "

@@ -517,13 +517,18 @@ def trip_event_keys(spark, sf):
 
 def _rolling_batch(seconds: int) -> Query:
     def query(spark, sf):
-        rows = views.trip_events(spark, sf)
+        rows = views.pickup_events(spark, sf)
         stats = rolling.trailing_stats(rows, "pu_borough", "pu_dt", seconds, keep=["event_id"])
         return rounded(stats.drop("pu_dt"), *MEASURES, places=8)
 
     return query
 
 
+def rolling_stats_latest(spark, sf):
+    rows = views.pickup_events(spark, sf)
+    return rounded(rolling.latest_stats(rows, "pu_borough", "pu_dt", SIX_HOURS), *MEASURES, places=8)
+
+
 def _event_stream(spark, sf, start, slices: int = 2) -> None:
     """Replay the events as JSON messages in time order."""
     rows = views.trip_events(spark, sf)
@@ -561,13 +566,13 @@ def rolling_windows(spark, sf):
 
 
 def stream_features(spark, sf):
-    rows = decay.with_features(views.trip_events(spark, sf), boroughs=views.BOROUGHS)
+    rows = decay.with_features(views.pickup_events(spark, sf), boroughs=views.BOROUGHS)
     size = 8 + len(views.BOROUGHS)
     return rows.select("event_id", *[F.round(F.col("features")[i], 9).alias(f"f{i}") for i in range(size)])
 
 
 def decayed_weight(spark, sf):
-    rows = views.trip_events(spark, sf)
+    rows = views.pickup_events(spark, sf)
     weights = decay.decayed_weight(rows, ["pu_borough"], decay.latest_ms(rows))
     return rounded(weights, "weight")
 
@@ -679,6 +684,7 @@ def queries() -> dict[str, Query]:
         "trip_event_keys": trip_event_keys,
         "rolling_stats_batch": _rolling_batch(15 * 60),
         "rolling_stats_batch_6h": _rolling_batch(SIX_HOURS),
+        "rolling_stats_latest": rolling_stats_latest,
         "rolling_stats_borough": rolling_stats_borough,
         "rolling_stats_top_zones": rolling_stats_top_zones,
         "rolling_windows": rolling_windows,

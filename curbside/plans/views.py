@@ -98,6 +98,11 @@ def trip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_boroughs(event_trips(spark, sf_dir), zones(spark, sf_dir))
 
 
+def pickup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the pickup borough only."""
+    return with_boroughs(event_trips(spark, sf_dir), zones(spark, sf_dir), ("pu",))
+
+
 # A trip column of the right kind fills every raw column the trip model does not have.
 EXTRA_SOURCE = {
     T.FloatType(): "distance",

@@ -66,7 +66,13 @@ class RollingReport:
     def update(self, events: DataFrame, batch: int) -> None:
         """Take in one micro-batch and write the state and report of that batch."""
         spark = events.sparkSession
-        timed = events.filter(F.col(self.ts).isNotNull())
+        events.persist()
+        try:
+            self._update(spark, events.filter(F.col(self.ts).isNotNull()), batch)
+        finally:
+            events.unpersist()
+
+    def _update(self, spark: SparkSession, timed: DataFrame, batch: int) -> None:
         counts = timed.filter(F.col("pu_locid").isNotNull()).groupBy("pu_locid").agg(F.count(F.lit(1)).alias("seen"))
         counts = self._with_earlier(spark, "counts", batch, counts).groupBy("pu_locid").agg(F.sum("seen").alias("seen"))
         counts.write.mode("overwrite").parquet(self._table("counts", batch))
