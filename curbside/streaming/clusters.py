@@ -7,13 +7,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from curbside.functions.columns import epoch_millis
 from curbside.operators.decay import decay_factor
+from curbside.session import checkpointed
 
 # Defaults of the stream clustering.
 MAX_MICRO = 200
@@ -142,26 +143,60 @@ def at_common_time(micro: DataFrame, half_life_minutes: float = HALF_LIFE_MINUTE
     }).filter(F.col("weight") > NEGLIGIBLE).drop("_f", "now_ms")
 
 
+def _squared_distance(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+
+
+def _with_nearest(points: DataFrame, centers: list[list[float]]) -> DataFrame:
+    """Add id and squared distance of the nearest center; the lower id wins a tie."""
+    table = F.array(*[F.array(*map(F.lit, center)) for center in centers])
+    options = F.transform(table, lambda c, i: F.struct(
+        _squared_distance(F.col("centroid"), c).alias("d2"), i.alias("id")))
+    return points.withColumn("_best", F.array_min(options)).select(
+        "centroid", "weight", F.col("_best.id").alias("id"), F.col("_best.d2").alias("d2")
+    )
+
+
+def _draw(points: DataFrame, chance: Column, seed: int, step: int) -> list[float]:
+    """One point drawn with probability proportional to ``chance``, the same on every run.
+
+    Every point gets an exponential waiting time with its chance as the rate; the first one wins.
+    """
+    drawn = F.pmod(F.xxhash64("centroid", "weight", F.lit(seed), F.lit(step)), F.lit(2**52))
+    wait = -F.log((drawn + 1) / float(2**52 + 1)) / F.greatest(chance, F.lit(1e-300))
+    return list(points.agg(F.min_by("centroid", F.struct(wait, "centroid"))).first()[0])
+
+
 def macro_clusters(micro: DataFrame, k: int = MACRO_K, seed: int = SEED,
                    max_iter: int = MACRO_ITERATIONS) -> DataFrame:
     """Weighted k-means over micro-cluster centroids: (id, weight, center) per macro cluster.
 
-    The input is at most ``max_micro`` rows per shard, whatever the stream's rate.
+    Both the k-means++ start and the means use the weights; the k-means of Spark ML starts without
+    them, which costs much where a few recent clusters carry most of the weight. Each step is
+    one aggregate, and only the k centers come back to the driver. The input is at most ``max_micro``
+    rows per shard, whatever the stream's rate.
     """
-    points = micro.filter(F.col("weight") > 0).select(
-        array_to_vector("centroid").alias("features"), F.col("weight").alias("w")
-    )
-    available = points.limit(k).count()
-    if available == 0:
-        return micro.sparkSession.createDataFrame([], "id int, weight double, center array<double>")
-    if available == 1:
-        return points.select(F.lit(0).alias("id"), F.col("w").alias("weight"), vector_to_array("features").alias("center"))
-    model = KMeans(k=min(k, available), maxIter=max_iter, seed=seed, weightCol="w", predictionCol="id").fit(points)
-    centers = micro.sparkSession.createDataFrame(
-        [(i, c.tolist()) for i, c in enumerate(model.clusterCenters())], "id int, center array<double>"
-    )
-    weights = model.transform(points).groupBy("id").agg(F.sum("w").alias("weight"))
-    return centers.join(weights, "id", "left").select("id", F.coalesce("weight", F.lit(0.0)).alias("weight"), "center")
+    spark = micro.sparkSession
+    points = checkpointed(micro.filter(F.col("weight") > 0).select("centroid", "weight"))
+    k = min(k, points.limit(max(k, 0)).count())
+    if k == 0:
+        return spark.createDataFrame([], "id int, weight double, center array<double>")
+    centers = [_draw(points, F.col("weight"), seed, 0)]
+    while len(centers) < k:
+        placed = _with_nearest(points, centers)
+        centers.append(_draw(placed, F.col("weight") * F.col("d2"), seed, len(centers)))
+    for iteration in range(max_iter):
+        mean = Summarizer.mean(array_to_vector("centroid"), F.col("weight"))
+        found = _with_nearest(points, centers).groupBy("id").agg(vector_to_array(mean).alias("center")).collect()
+        moved = {row["id"]: list(row["center"]) for row in found}
+        for empty in set(range(k)) - moved.keys():
+            moved[empty] = _draw(points, F.lit(1.0), seed, k + iteration * k + empty)
+        previous, centers = centers, [moved[i] for i in range(k)]
+        if centers == previous:
+            break
+    weights = _with_nearest(points, centers).groupBy("id").agg(F.sum("weight").alias("weight"))
+    table = spark.createDataFrame(list(enumerate(centers)), "id int, center array<double>")
+    return table.join(weights, "id", "left").select("id", F.coalesce("weight", F.lit(0.0)).alias("weight"), "center")
 
 
 def macro_summary(macro: DataFrame) -> DataFrame:
