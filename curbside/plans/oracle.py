@@ -335,7 +335,7 @@ def _week_profile(side: bool) -> str:
 
 def _moments(prefix: str = "") -> str:
     return ", ".join(
-        f"ROUND(AVG({prefix}{v}), 8) AS {v}_mean, ROUND(STDDEV_POP({prefix}{v}), 8) AS {v}_std"
+        f"CAST(CAST(AVG({prefix}{v}) AS FLOAT) AS DOUBLE) AS {v}_mean, ROUND(STDDEV_POP({prefix}{v}), 8) AS {v}_std"
         for v in ("distance_miles", "fare_usd", "tip_usd")
     )
 
@@ -350,7 +350,7 @@ _FILLED = (
 def _rolling(minutes: int) -> str:
     frame = f"(PARTITION BY pu_borough ORDER BY pu_dt RANGE BETWEEN INTERVAL {minutes} MINUTES PRECEDING AND CURRENT ROW)"
     stats = ", ".join(
-        f"ROUND(AVG({v}) OVER w, 8) AS {v}_mean, ROUND(STDDEV_POP({v}) OVER w, 8) AS {v}_std"
+        f"CAST(CAST(AVG({v}) OVER w AS FLOAT) AS DOUBLE) AS {v}_mean, ROUND(STDDEV_POP({v}) OVER w, 8) AS {v}_std"
         for v in ("distance_miles", "fare_usd", "tip_usd")
     )
     return using("trip_events", query=(
@@ -382,7 +382,7 @@ def _features() -> str:
 def oracle_sql() -> dict[str, str]:
     """SQL per registered key, where SQL can express it."""
     fare_tip = (
-        "SELECT label, fare, ROUND(AVG(fee_tip), 6) AS tip, COUNT(*) AS n FROM buckets "
+        "SELECT label, fare, CAST(CAST(AVG(fee_tip) AS FLOAT) AS DOUBLE) AS tip, COUNT(*) AS n FROM buckets "
         "JOIN limits USING (label, fare) WHERE fee_tip < tip_max GROUP BY 1, 2"
     )
     stats = ["mean", "std", "min", "max", "q25", "q50", "q75", "iqr"]
@@ -457,7 +457,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT arcs.*, p.zone AS pu_zone, p.borough AS pu_borough, d.zone AS do_zone, d.borough AS do_borough FROM arcs "
             "LEFT JOIN zones p ON p.locid = pu_locid LEFT JOIN zones d ON d.locid = do_locid")),
         "join_zones_right": using("trips", "zones", query=(
-            "SELECT zone, borough, pu_locid, fare_mean FROM zones RIGHT JOIN (SELECT pu_locid, ROUND(AVG(fee_fare), 6) AS fare_mean "
+            "SELECT zone, borough, pu_locid, fare_mean FROM zones RIGHT JOIN (SELECT pu_locid, CAST(CAST(AVG(fee_fare) AS FLOAT) AS DOUBLE) AS fare_mean "
             "FROM trips WHERE pu_locid IS NOT NULL GROUP BY 1) ON locid = pu_locid")),
         "join_full_indicator": using("breakdown", query="SELECT * FROM breakdown"),
         "join_thresholds": using("limits", query=(
@@ -467,7 +467,8 @@ def oracle_sql() -> dict[str, str]:
         "join_semi_top_zones": using("top", query=(
             "SELECT * FROM arcs WHERE pu_locid IN (SELECT locid FROM top) AND do_locid IN (SELECT locid FROM top)")),
         "colstats": using("stats", query=(
-            "SELECT dataset, col, ROUND(frac_null, 6) AS frac_null, " + ", ".join(f"ROUND({s}, 6) AS {s}" for s in stats) + " FROM stats")),
+            "SELECT dataset, col, "
+            + ", ".join(f"CAST(CAST({s} AS FLOAT) AS DOUBLE) AS {s}" for s in [*stats, "frac_null"]) + " FROM stats")),
         "colstats_trip_time": using("stats", query=(
             "SELECT dataset, " + ", ".join(
                 f"TIMESTAMP '2000-01-01' + to_microseconds(CAST(ROUND(ROUND({s}, 3) * 1000000) AS BIGINT)) AS {s}" for s in stats)
@@ -515,7 +516,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT DISTINCT d AS dataset, borough FROM (SELECT unnest([dataset, 'all']) AS d, locid FROM ("
             "SELECT dataset, pu_locid AS locid FROM trips UNION SELECT dataset, do_locid FROM trips)) e JOIN zones USING (locid)")),
         "fare_zone": using("trips", query=(
-            "SELECT pu_locid, ROUND(AVG(fee_fare), 6) AS fare_mean FROM trips WHERE dataset <> 'fhv' AND pu_locid IS NOT NULL GROUP BY 1")),
+            "SELECT pu_locid, CAST(CAST(AVG(fee_fare) AS FLOAT) AS DOUBLE) AS fare_mean FROM trips WHERE dataset <> 'fhv' AND pu_locid IS NOT NULL GROUP BY 1")),
         "payment_types": using("trips", query=(
             "SELECT dataset, COALESCE(payment_type, 5) AS payment_type, CASE COALESCE(payment_type, 5) WHEN 0 THEN 'Flex fare' "
             "WHEN 1 THEN 'Card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' "
@@ -530,7 +531,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT label, date_diff('microsecond', pu_dt, do_dt) / 1e6 AS s FROM labelled)) "
             "WHERE b IS NOT NULL AND label IS NOT NULL GROUP BY ALL")),
         "distance_fare_curve": using("trips", query=(
-            "SELECT bucket, ROUND(AVG(fee_fare), 6) AS fare, COUNT(*) AS n, ROUND(pow(10, bucket / 100), 6) AS distance FROM ("
+            "SELECT bucket, CAST(CAST(AVG(fee_fare) AS FLOAT) AS DOUBLE) AS fare, COUNT(*) AS n, CAST(CAST(pow(10, bucket / 100) AS FLOAT) AS DOUBLE) AS distance FROM ("
             "SELECT CAST(FLOOR(log10(distance) * 100) AS INT) AS bucket, fee_fare FROM trips WHERE dataset <> 'fhv' AND distance > 0) GROUP BY 1")),
         "fare_tip_curve": using("limits", query=fare_tip),
         "fare_tip_display": using("limits", query=f"SELECT * FROM ({fare_tip}) WHERE n > 10 AND fare < 600"),
@@ -560,7 +561,7 @@ def oracle_sql() -> dict[str, str]:
             "WHERE s + INTERVAL '6' HOUR <= last - INTERVAL '1' HOUR AND pu_borough IS NOT NULL GROUP BY 1, 2, 3")),
         "stream_features": _features(),
         "decayed_weight": using("trip_events", query=(
-            f"SELECT pu_borough, COUNT(*) AS n, ROUND({decayed}, 6) AS weight FROM {aged} GROUP BY 1")),
+            f"SELECT pu_borough, COUNT(*) AS n, CAST(CAST({decayed} AS FLOAT) AS DOUBLE) AS weight FROM {aged} GROUP BY 1")),
         "micro_cluster_weight": using("trip_events", query=(
             f"SELECT ROUND({decayed}, 2) AS weight, MAX(ms) AS clock_ms FROM {aged}")),
     }

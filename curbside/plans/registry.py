@@ -28,13 +28,23 @@ CONFORMED = (
 SIX_HOURS = 6 * 3600
 # The fixture's features lie close together; a smaller radius gives several micro-clusters.
 TAU = 1.0
-MEASURES = [f"{v}_{s}" for v in rolling.ATTRIBUTES for s in ("mean", "std")]
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), places) for c in columns})
 
 
+def single(df: DataFrame, *columns: str) -> DataFrame:
+    """Averages to single precision: engines add in different orders, and decimal rounding would
+    fall apart on the many averages that end in an exact half."""
+    return df.withColumns({c: F.col(c).cast("float").cast("double") for c in columns})
+
+
+def _rolled(df: DataFrame) -> DataFrame:
+    means = [f"{v}_mean" for v in rolling.ATTRIBUTES]
+    return rounded(single(df, *means), *[f"{v}_std" for v in rolling.ATTRIBUTES], places=8)
+
+
 def _big_bases(spark: SparkSession, sf: str) -> DataFrame:
     raw = views.trips_raw(spark, sf)
     return bases.big_bases(views.feed(raw, "fhv"), views.feed(raw, "fhvhv"), BIG, "month", views.LAST_SEEN)
@@ -289,7 +299,7 @@ def join_zone_names_twice(spark, sf):
 
 
 def join_zones_right(spark, sf):
-    fares = rounded(money.fare_by_zone(views.trips(spark, sf)), "fare_mean")
+    fares = single(money.fare_by_zone(views.trips(spark, sf)), "fare_mean")
     return zone_ops.zones_right_join(fares, views.zones(spark, sf), "pu_locid")
 
 
@@ -328,7 +338,7 @@ def _colstats(spark, sf) -> DataFrame:
 
 
 def colstats_query(spark, sf):
-    return rounded(_colstats(spark, sf), *STATS)
+    return single(_colstats(spark, sf), *STATS)
 
 
 def colstats_trip_time(spark, sf):
@@ -446,7 +456,7 @@ def boroughs_present(spark, sf):
 
 def fare_zone(spark, sf):
     fares = money.fare_by_zone(views.feed(views.trips(spark, sf), "yellow", "green", "fhvhv"))
-    return rounded(fares, "fare_mean")
+    return single(fares, "fare_mean")
 
 
 def payment_types(spark, sf):
@@ -459,11 +469,11 @@ def trip_time_bins(spark, sf):
 
 def distance_fare_curve(spark, sf):
     curve = money.distance_fare_curve(views.feed(views.trips(spark, sf), "yellow", "green", "fhvhv"))
-    return rounded(curve, "fare", "distance")
+    return single(curve, "fare", "distance")
 
 
 def fare_tip_curve(spark, sf):
-    return rounded(money.fare_tip_curve(_priced(spark, sf)), "tip")
+    return single(money.fare_tip_curve(_priced(spark, sf)), "tip")
 
 
 def fare_tip_display(spark, sf):
@@ -519,14 +529,14 @@ def _rolling_batch(seconds: int) -> Query:
     def query(spark, sf):
         rows = views.pickup_events(spark, sf)
         stats = rolling.trailing_stats(rows, "pu_borough", "pu_dt", seconds, keep=["event_id"])
-        return rounded(stats.drop("pu_dt"), *MEASURES, places=8)
+        return _rolled(stats.drop("pu_dt"))
 
     return query
 
 
 def rolling_stats_latest(spark, sf):
     rows = views.pickup_events(spark, sf)
-    return rounded(rolling.latest_stats(rows, "pu_borough", "pu_dt", SIX_HOURS), *MEASURES, places=8)
+    return _rolled(rolling.latest_stats(rows, "pu_borough", "pu_dt", SIX_HOURS))
 
 
 def _event_stream(spark, sf, start, slices: int = 2) -> None:
@@ -544,12 +554,12 @@ def _rolling_report(spark, sf) -> RollingReport:
 
 def rolling_stats_borough(spark, sf):
     report = _rolling_report(spark, sf)
-    return rounded(report.boroughs(spark, report.last_batch(spark)), *MEASURES, places=8)
+    return _rolled(report.boroughs(spark, report.last_batch(spark)))
 
 
 def rolling_stats_top_zones(spark, sf):
     report = _rolling_report(spark, sf)
-    return rounded(report.top_zones(spark, report.last_batch(spark)), *MEASURES, places=8)
+    return _rolled(report.top_zones(spark, report.last_batch(spark)))
 
 
 def rolling_windows(spark, sf):
@@ -562,7 +572,7 @@ def rolling_windows(spark, sf):
         return windows.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
 
     _event_stream(spark, sf, start)
-    return rounded(spark.read.parquet(out), *MEASURES, places=8)
+    return _rolled(spark.read.parquet(out))
 
 
 def stream_features(spark, sf):
@@ -574,7 +584,7 @@ def stream_features(spark, sf):
 def decayed_weight(spark, sf):
     rows = views.pickup_events(spark, sf)
     weights = decay.decayed_weight(rows, ["pu_borough"], decay.latest_ms(rows))
-    return rounded(weights, "weight")
+    return single(weights, "weight")
 
 
 def _micro(spark, sf, shards: int) -> DataFrame:
