@@ -45,6 +45,11 @@ def with_boroughs(df: DataFrame, zones: DataFrame, ends: tuple[str, ...] = ("pu"
     return df
 
 
+def borough_sample(df: DataFrame, zones: DataFrame, rows: int = 5) -> DataFrame:
+    """A few trips with the boroughs of both ends, to look at."""
+    return with_boroughs(df.select("pu_locid", "do_locid").limit(rows), zones)
+
+
 def boroughs_present(df: DataFrame, zones: DataFrame, label: str = "dataset") -> DataFrame:
     """Distinct boroughs at either end, per label and overall (label ``all``).
 

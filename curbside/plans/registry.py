@@ -171,7 +171,8 @@ def src_columns_union(spark, sf):
 
 
 def conform_schema(spark, sf):
-    rows = read_conformed(spark, _history(spark, sf), T.StructType.fromDDL(CONFORMED), "tpep_pickup_datetime")
+    schema = T.StructType.fromDDL(CONFORMED)
+    rows = read_conformed(spark, _history(spark, sf), "yellow_tripdata", (1995, 1), schema, "tpep_pickup_datetime")
     return rows.groupBy("year").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("vendorid").alias("sum_vendor"),

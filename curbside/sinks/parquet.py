@@ -11,6 +11,9 @@ from curbside.session import checkpointed, scratch_path, small_side
 # Fixed value: compression level of repacked files.
 ZSTD_LEVEL = 6
 
+# The numbering plan has one row of a few numbers per (staged file, key); up to this many are broadcast.
+PLAN_ROWS = 2_000_000
+
 
 def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
            preprocess: Callable[[DataFrame], DataFrame] | None = None, level: int = ZSTD_LEVEL,
@@ -33,11 +36,12 @@ def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
     stage = scratch_path(spark, "stage")
-    df.sortWithinPartitions(*keys).write.mode("overwrite").option("compression", "zstd").parquet(stage)
+    # One staged file per task, known by the task number in its name.
+    staging = df.sortWithinPartitions(*keys).write.mode("overwrite").option("compression", "zstd")
+    staging.option("maxRecordsPerFile", 0).parquet(stage)
 
-    staged = spark.read.parquet(stage).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    )
+    task = F.split_part(F.col("_metadata.file_name"), F.lit("-"), F.lit(2)).cast("int")
+    staged = spark.read.parquet(stage).select("*", task.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     earlier = Window.partitionBy(*keys).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     runs = staged.groupBy("_file", *keys).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     runs = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
@@ -51,7 +55,7 @@ def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
     files_per_task = max(1, -(-total // max_tasks))
     tasks = max(1, -(-total // files_per_task))
     position = F.col("_before") + F.col("_row") - F.col("_first")
-    numbered = staged.join(small_side(plan), ["_file", *keys]).withColumn(
+    numbered = staged.join(small_side(plan, PLAN_ROWS), ["_file", *keys]).withColumn(
         "_out", F.col("_base") + F.floor(position / rows_per_file)
     )
     placed = (

@@ -99,7 +99,8 @@ def month_columns(path: Column) -> tuple[Column, Column, Column]:
     return checked, year, month
 
 
-def _from_start(year: Column, month: Column, start: tuple[int, int]) -> Column:
+def from_start(year: Column, month: Column, start: tuple[int, int]) -> Column:
+    """Whether a month is not before the start month."""
     return year * 100 + month >= start[0] * 100 + start[1]
 
 
@@ -116,7 +117,7 @@ def month_files(
     found, year, month = month_columns(F.col("path"))
     return (
         listing.withColumns({"category": found, "src_year": year, "src_month": month})
-        .filter((F.col("category") == category) & _from_start(year, month, start))
+        .filter((F.col("category") == category) & from_start(year, month, start))
         .select("category", "src_year", "src_month", "path", "bytes")
     )
 
@@ -132,7 +133,7 @@ def read_months(
         f"{folder}/*{category}_????-??.parquet"
     )
     _, year, month = month_columns(F.col("_metadata.file_path"))
-    return rows.filter(_from_start(year, month, start)).select(
+    return rows.filter(from_start(year, month, start)).select(
         "*", year.alias("src_year"), month.alias("src_month")
     )
 

@@ -16,6 +16,9 @@ WINDOW_SECONDS = 15 * 60
 REPORT_TRIGGER = "10 seconds"
 TOP_N = 10
 
+# State slots: the batch at work, the one before it, and a spare.
+SLOTS = 3
+
 
 def sliding_stats(stream: DataFrame, key: str, ts: str = "pu_dt", window: str = "15 minutes",
                   slide: str = "1 minute", watermark: str = "15 minutes",
@@ -42,11 +45,11 @@ def sliding_stats(stream: DataFrame, key: str, ts: str = "pu_dt", window: str =
 class RollingReport:
     """Exact trailing statistics as of each key's last event, carried from batch to batch.
 
-    The state is three tables below ``path``, one folder per batch: the events still inside their
-    key's window, each key's last event time and the zone counts since the start. A batch that is
-    run again reads the folders of the batch before it and overwrites its own, so the report is the
-    same after a failure. Idle keys keep their last window. All of it is partial aggregates
-    and filters; no key is gathered in one task.
+    The state is three tables below ``path``: the events still inside their key's window, each key's
+    last event time and the zone counts since the start. Batches take turns over three slots, so
+    the state stays bounded, and a batch that is run again still finds the slot of the batch
+    before it and overwrites its own: the report is the same after a failure. Idle keys keep their
+    last window. All of it is partial aggregates and filters; no key is gathered in one task.
     """
 
     path: str
@@ -55,13 +58,16 @@ class RollingReport:
     values: Sequence[str] = ATTRIBUTES
     ts: str = "pu_dt"
 
-    def _table(self, name: str, batch: int) -> str:
-        return f"{self.path}/{name}/batch={batch}"
+    def _state(self, name: str, batch: int) -> str:
+        return f"{self.path}/{name}/slot={batch % SLOTS}"
+
+    def _report(self, batch: int) -> str:
+        return f"{self.path}/report/batch={batch}"
 
     def _with_earlier(self, spark: SparkSession, name: str, batch: int, rows: DataFrame) -> DataFrame:
         if batch == 0:
             return rows
-        return spark.read.schema(rows.schema).parquet(self._table(name, batch - 1)).unionByName(rows)
+        return spark.read.schema(rows.schema).parquet(self._state(name, batch - 1)).unionByName(rows)
 
     def update(self, events: DataFrame, batch: int) -> None:
         """Take in one micro-batch and write the state and report of that batch."""
@@ -75,7 +81,7 @@ class RollingReport:
     def _update(self, spark: SparkSession, timed: DataFrame, batch: int) -> None:
         counts = timed.filter(F.col("pu_locid").isNotNull()).groupBy("pu_locid").agg(F.count(F.lit(1)).alias("seen"))
         counts = self._with_earlier(spark, "counts", batch, counts).groupBy("pu_locid").agg(F.sum("seen").alias("seen"))
-        counts.write.mode("overwrite").parquet(self._table("counts", batch))
+        counts.write.mode("overwrite").parquet(self._state("counts", batch))
 
         scopes = F.array(
             F.struct(F.lit("borough").alias("scope"), F.col("pu_borough").alias("key")),
@@ -88,28 +94,28 @@ class RollingReport:
             .filter(F.col("key").isNotNull() & (F.col("key") != ""))
         )
         rows = self._with_earlier(spark, "live", batch, fresh)
-        last_path = self._table("last", batch)
+        last_path = self._state("last", batch)
         rows.groupBy("scope", "key").agg(F.max(self.ts).alias("last_ts")).write.mode("overwrite").parquet(last_path)
         last = small_side(spark.read.parquet(last_path))
         width = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(self.window_seconds))
         live = rows.join(last, ["scope", "key"]).filter(F.col(self.ts) >= F.col("last_ts") - width)
-        live.drop("last_ts").select(*rows.columns).write.mode("overwrite").parquet(self._table("live", batch))
-        self.snapshot(spark, batch).write.mode("overwrite").parquet(self._table("report", batch))
+        live.drop("last_ts").select(*rows.columns).write.mode("overwrite").parquet(self._state("live", batch))
+        self.snapshot(spark, batch).write.mode("overwrite").parquet(self._report(batch))
 
     def snapshot(self, spark: SparkSession, batch: int) -> DataFrame:
         """Statistics of every borough and zone over its current window."""
-        live = spark.read.parquet(self._table("live", batch))
+        live = spark.read.parquet(self._state("live", batch))
         return live.groupBy("scope", "key").agg(F.max(self.ts).alias("last_ts"), *window_stats(self.values))
 
     def boroughs(self, spark: SparkSession, batch: int) -> DataFrame:
-        report = spark.read.parquet(self._table("report", batch))
+        report = spark.read.parquet(self._report(batch))
         return report.filter(F.col("scope") == "borough").drop("scope").withColumnRenamed("key", "pu_borough")
 
     def top_zones(self, spark: SparkSession, batch: int) -> DataFrame:
-        """Current top zones by rides since the start, with their window statistics."""
-        counts = spark.read.parquet(self._table("counts", batch))
+        """Top zones by rides since the start, with their window statistics, as of a recent batch."""
+        counts = spark.read.parquet(self._state("counts", batch))
         top = counts.orderBy(F.col("seen").desc(), "pu_locid").limit(self.top_n)
-        report = spark.read.parquet(self._table("report", batch)).filter(F.col("scope") == "zone")
+        report = spark.read.parquet(self._report(batch)).filter(F.col("scope") == "zone")
         stats = report.select(F.col("key").cast("int").alias("pu_locid"), *[c for c in report.columns if c not in ("scope", "key")])
         return top.join(stats, "pu_locid", "left")
 

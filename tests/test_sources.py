@@ -73,10 +73,34 @@ def test_generations_are_read_with_their_own_types(spark, tmp_path):
         f"{base}/fhv_tripdata_2015-01.parquet")
     spark.sql("SELECT TIMESTAMP_NTZ'2016-01-02 00:00:00' AS pickup_datetime, 5L AS PULocationID").write.parquet(
         f"{base}/fhv_tripdata_2016-01.parquet")
-    assert len(generations(spark, base)) == 2
+    spark.sql("SELECT 'x' AS other").write.parquet(f"{base}/fhv_tripdata_2014-01.parquet")
+    assert [len(g) for g in generations(spark, base, "fhv_tripdata", (2015, 1))] == [1, 1]
     schema = T.StructType.fromDDL("pulocationid int, year int")
-    out = read_conformed(spark, base, schema, "pickup_datetime")
+    out = read_conformed(spark, base, "fhv_tripdata", (2015, 1), schema, "pickup_datetime")
     assert sorted(tuple(r) for r in out.collect()) == [(4, 2015), (5, 2016)]
+    with pytest.raises(ValueError, match="no fhv"):
+        read_conformed(spark, base, "fhv_tripdata", (2030, 1), schema, "pickup_datetime")
+
+
+def test_feed_is_repacked_from_raw_months(spark, sf, tmp_path):
+    from curbside.sinks.feeds import repack_feed
+    from curbside.sinks.parquet import file_rows
+
+    rows = views.raw_feed(spark, sf, "yellow").drop("src_year")
+    shifted = rows.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime") + F.expr("INTERVAL '18' YEAR"))
+    early = shifted.filter("year(tpep_pickup_datetime) < 2016").withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    late = shifted.filter("year(tpep_pickup_datetime) >= 2016").withColumnRenamed("pulocationid", "PULocationID")
+    folder, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    for part in (early, late):
+        unit = F.concat(F.lit("yellow_tripdata_"), F.date_format("tpep_pickup_datetime", "yyyy-MM"), F.lit(".parquet"))
+        part.withColumn("unit", unit).write.mode("append").partitionBy("unit").parquet(folder)
+    repack_feed(spark, folder, dst, "yellow", rows_per_file=100)
+    sizes = [(r.year, r["rows"]) for r in file_rows(spark, dst, ["year"]).collect()]
+    assert sum(n for _, n in sizes) == rows.count() and {n for _, n in sizes if n != 100} and max(n for _, n in sizes) == 100
+    back = feeds.read_feed_default(spark, dst, "yellow")
+    types = {f.name: f.dataType for f in feeds.feed_schema("yellow").fields}
+    assert {f.name: f.dataType for f in back.schema.fields} == types
+    assert back.count() == rows.count()
 
 
 def test_footers_see_nulls_and_missing_statistics(spark, tmp_path):

@@ -110,6 +110,9 @@ def test_joins_with_zones(spark):
     assert zone_ops.zones_right_join(df, zones).count() == 3
     assert [(r.position, r.locid, r.zone) for r in zone_ops.resolve_ids(spark, [2, 7, 1], zones).collect()] == [
         (0, 2, "z2"), (1, 7, None), (2, 1, "z1")]
+    trips = spark.createDataFrame([(1, 2)] * 9, "pu_locid int, do_locid int")
+    assert {tuple(r) for r in zone_ops.borough_sample(trips, zones).collect()} == {(1, 2, "Q", "K")}
+    assert zone_ops.borough_sample(trips, zones).count() == 5
     ids = spark.createDataFrame([(1,)], "id int")
     assert [r.locid for r in zone_ops.keep_ids(df, ids, "locid").collect()] == [1]
     assert sorted((r.locid for r in zone_ops.drop_ids(df, ids, "locid").collect()), key=str) == [9, None]
