@@ -171,7 +171,7 @@ def rank_error(df: DataFrame, keys: Sequence[str], value: str, found: DataFrame,
 
     Zero if the wanted rank lies within the run of values equal to the estimate.
     """
-    marked = df.filter(F.col(value).isNotNull()).join(small_side(found), list(keys))
+    marked = df.filter(F.col(value).isNotNull()).join(small_side(checkpointed(found)), list(keys))
     shares = marked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg((F.col(value) < F.col(estimate)).cast("double")).alias("_below"),

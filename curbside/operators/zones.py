@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from curbside.session import small_side
+from curbside.session import checkpointed, small_side
 
 
 def join_zone_names(df: DataFrame, zones: DataFrame, key: str = "locid", prefix: str = "") -> DataFrame:
@@ -89,8 +89,12 @@ def full_join_with_origin(left: DataFrame, right: DataFrame, on: str) -> DataFra
 
 
 def below_threshold(df: DataFrame, limits: DataFrame, on: list[str], value: str, limit: str) -> DataFrame:
-    """Rows strictly below their group's threshold; the fact side is not shuffled for a small table."""
-    return df.join(small_side(limits), on, "left").filter(F.col(value) < F.col(limit))
+    """Rows strictly below their group's threshold.
+
+    The thresholds are written once, so that checking their number does not compute them twice;
+    the fact side is not shuffled for a small table.
+    """
+    return df.join(small_side(checkpointed(limits)), on, "left").filter(F.col(value) < F.col(limit))
 
 
 def isin_or_false(column: Column, values: Iterable) -> Column:

@@ -540,9 +540,10 @@ def rolling_stats_latest(spark, sf):
     return _rolled(rolling.latest_stats(rows, "pu_borough", "pu_dt", SIX_HOURS))
 
 
-def _event_stream(spark, sf, start, slices: int = 2) -> None:
-    """Replay the events as JSON messages in time order."""
+def _event_stream(spark, sf, start) -> None:
+    """Replay the events as JSON messages in time order, a micro-batch per slice."""
     rows = views.trip_events(spark, sf)
+    slices = 2 + views.table(spark, sf, "events").count() // 10_000_000
     parts = [events.encode_events(p) for p in time_slices(rows, "pu_dt", slices)]
     replay(spark, parts, start)
 

@@ -11,7 +11,7 @@ from curbside.session import checkpointed, scratch_path, small_side
 # Fixed value: compression level of repacked files.
 ZSTD_LEVEL = 6
 
-# The numbering plan has one row of a few numbers per (staged file, key); up to this many are broadcast.
+# The numbering plan has one short row per (staged file, key); up to this many are broadcast.
 PLAN_ROWS = 2_000_000
 
 
@@ -36,11 +36,11 @@ def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
     stage = scratch_path(spark, "stage")
-    # One staged file per task, known by the task number in its name.
+    # One staged file per task, known by the first part of its name (part-00017).
     staging = df.sortWithinPartitions(*keys).write.mode("overwrite").option("compression", "zstd")
     staging.option("maxRecordsPerFile", 0).parquet(stage)
 
-    task = F.split_part(F.col("_metadata.file_name"), F.lit("-"), F.lit(2)).cast("int")
+    task = F.substring_index(F.col("_metadata.file_name"), "-", 2)
     staged = spark.read.parquet(stage).select("*", task.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     earlier = Window.partitionBy(*keys).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     runs = staged.groupBy("_file", *keys).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
