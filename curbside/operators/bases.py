@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curbside.functions.columns import mask, period_start
 from curbside.operators.zones import full_join_with_origin, isin_or_false
-from curbside.session import checkpointed, small_side
+from curbside.session import checkpointed, lookup
 
 # Licenses of the big operators, day their bases vanish from the fhv feed.
 BIG_LICENSES = ("HV0003", "HV0005")
@@ -66,10 +66,10 @@ def big_bases(fhv: DataFrame, fhvhv: DataFrame, big: tuple[str, ...] = BIG_LICEN
 
 def label_fhv(fhv: DataFrame, bases: DataFrame, base: str = "dbasenum") -> DataFrame:
     """fhv_big for bases of the big operators, else fhv_small; no base, no label."""
-    flagged = small_side(bases.select(F.col("dbn").alias(base), F.lit(True).alias("_big")))
+    flagged = bases.select(F.col("dbn").alias(base), F.lit(True).alias("_big"))
     label = F.when(F.col("_big"), "fhv_big").otherwise("fhv_small")
     return (
-        fhv.join(flagged, base, "left")
+        lookup(fhv, flagged, base)
         .withColumn("label", mask(label, F.col(base).isNull()))
         .drop("_big")
     )
@@ -84,7 +84,7 @@ def label_fhvhv(fhvhv: DataFrame, big: tuple[str, ...] = BIG_LICENSES, license:
 def label_stacked(trips: DataFrame, bases: DataFrame, big: tuple[str, ...] = BIG_LICENSES,
                   dataset: str = "dataset") -> DataFrame:
     """Labels of all feeds in one scan of the stacked table: taxis keep their feed's name."""
-    flagged = small_side(bases.select(F.col("dbn").alias("dbasenum"), F.lit(True).alias("_big")))
+    flagged = bases.select(F.col("dbn").alias("dbasenum"), F.lit(True).alias("_big"))
     fhv = F.when(F.col("_big"), "fhv_big").otherwise("fhv_small")
     app = F.when(F.col("licensenum").isin(*big), "fhv_big").otherwise("fhv_small")
     label = (
@@ -92,4 +92,4 @@ def label_stacked(trips: DataFrame, bases: DataFrame, big: tuple[str, ...] = BIG
         .when(F.col(dataset) == "fhvhv", mask(app, F.col("licensenum").isNull()))
         .otherwise(F.col(dataset))
     )
-    return trips.join(flagged, "dbasenum", "left").withColumn("label", label).drop("_big")
+    return lookup(trips, flagged, "dbasenum").withColumn("label", label).drop("_big")

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from curbside.session import checkpointed, small_side
+from curbside.session import checkpointed, lookup, small_side
 
 
 def join_zone_names(df: DataFrame, zones: DataFrame, key: str = "locid", prefix: str = "") -> DataFrame:
@@ -16,11 +16,9 @@ def join_zone_names(df: DataFrame, zones: DataFrame, key: str = "locid", prefix:
     is not shuffled for a few hundred names.
     """
     names = zones.select(
-        F.col("locid").alias("_zone_key"),
-        F.col("zone").alias(f"{prefix}zone"),
-        F.col("borough").alias(f"{prefix}borough"),
+        F.col("locid").alias(key), F.col("zone").alias(f"{prefix}zone"), F.col("borough").alias(f"{prefix}borough")
     )
-    return df.join(small_side(names), F.col(key) == F.col("_zone_key"), "left").drop("_zone_key")
+    return lookup(df, names, key)
 
 
 def join_zone_names_twice(df: DataFrame, zones: DataFrame) -> DataFrame:
@@ -38,10 +36,9 @@ def zones_right_join(df: DataFrame, zones: DataFrame, key: str = "locid") -> Dat
 
 def with_boroughs(df: DataFrame, zones: DataFrame, ends: tuple[str, ...] = ("pu", "do")) -> DataFrame:
     """Pickup and dropoff borough by id lookup, null where unknown. Works on streams too."""
-    lookup = small_side(zones.select("locid", "borough"))
     for end in ends:
-        side = lookup.select(F.col("locid").alias(f"_{end}"), F.col("borough").alias(f"{end}_borough"))
-        df = df.join(side, F.col(f"{end}_locid") == F.col(f"_{end}"), "left").drop(f"_{end}")
+        side = zones.select(F.col("locid").alias(f"{end}_locid"), F.col("borough").alias(f"{end}_borough"))
+        df = lookup(df, side, f"{end}_locid")
     return df
 
 

@@ -50,10 +50,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """Whether the table has at most ``max_rows`` rows; reads at most one row more."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint if the table has at most ``max_rows`` rows, else the table as it is.
+    """Broadcast hint if the table is small, else the table as it is.
+
+    Beyond the bound the join stays a shuffle join, where AQE splits skewed partitions.
+    """
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def lookup(df: DataFrame, side: DataFrame, key: str, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Left join of a lookup table with unique keys.
 
-    Beyond the bound the join stays a shuffle join, where AQE splits skewed partitions. The
-    check reads at most ``max_rows + 1`` rows.
+    A small table is broadcast. With a large one, rows whose key is null go around the join: they
+    find nothing, and would otherwise all meet in one task.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    columns = [*df.columns, *[c for c in side.columns if c != key]]
+    if is_small(side, max_rows):
+        return df.join(F.broadcast(side), key, "left").select(*columns)
+    known = df.filter(F.col(key).isNotNull()).join(side, key, "left").select(*columns)
+    return known.unionByName(df.filter(F.col(key).isNull()), allowMissingColumns=True)

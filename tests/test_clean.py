@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import types as T
 
 from curbside.operators import anomaly, clean
 from curbside.plans import views

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from curbside.operators import decay
 from curbside.plans import views
 from curbside.session import scratch_path
-from curbside.streaming import clusters, events
+from curbside.streaming import clusters
 from curbside.streaming.replay import replay, time_slices
 
 HALF_LIFE_MS = 360 * 60_000.0
@@ -71,8 +71,8 @@ def test_shards_add_up_and_are_even(spark, sf):
     expected = sum(0.5 ** ((now - r.ms) / HALF_LIFE_MS) for r in rows.select(
         F.unix_millis(F.col("pu_dt").cast("timestamp")).alias("ms")).collect())
     assert total == pytest.approx(expected, rel=1e-3)
-    one_zone = spark.range(4000).select((F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("pu_dt"),
-                                        F.lit(7).alias("pu_locid"))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    one_zone = spark.range(4000).select((start + F.make_dt_interval(secs=F.col("id"))).alias("pu_dt"), F.lit(7).alias("pu_locid"))
     sizes = [r["count"] for r in clusters.with_shard(one_zone, 8).groupBy("shard").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
 

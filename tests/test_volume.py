@@ -130,3 +130,14 @@ def test_large_side_is_not_broadcast(spark):
             assert ("BroadcastHashJoin" in plan) is expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_keys_go_around_a_large_lookup(spark):
+    from curbside.session import lookup
+
+    df = spark.createDataFrame([(1, "a"), (9, "b"), (None, "c")], "k int, v string")
+    side = spark.createDataFrame([(1, "x"), (2, "y")], "k int, name string")
+    want = {("a", "x"), ("b", None), ("c", None)}
+    for bound in (10, 1):
+        assert {(r.v, r.name) for r in lookup(df, side, "k", bound).collect()} == want
+    assert "Union" in lookup(df, side, "k", 1)._jdf.queryExecution().executedPlan().toString()
