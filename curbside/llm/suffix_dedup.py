@@ -31,7 +31,8 @@ from curbside.llm.common import discard, map_arrow, staged, text_key, text_of
 
 SPAN, ANCHOR, BATCHES = 200, 32, 4
 PIECE, CHUNK = 1 << 20, 1 << 21  # bytes of a long text and of a numpy pass; positions take 24 bits
-HOT_PREFIX = 4096  # kinds of stretches of one prefix that are compared in one task; more are dealt out span by span
+# Kinds of stretches of one prefix that are compared in one task, some 10 MB; more are dealt out span by span.
+HOT_PREFIX = 32_768
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
