@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.llm import simhash, suffix_dedup, warc
+from curbside.llm import line_dedup, quality_rules, simhash, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(table(spark, sf_dir, "documents"))
 
@@ -25,8 +29,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digests(table(spark, sf_dir, "pages"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op7_simhash, op9_warc)}
+    return {f.__name__: f for f in (
+        op1_suffix_dedup, op2_line_dedup, op7_simhash, op9_warc, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
