@@ -1,16 +1,65 @@
-"""Corpus preparation in stages; each is written as Parquet and reread by the next."""
+"""Corpus preparation in stages; each is written as Parquet and reread by the next.
+
+Every stage keeps the columns of documents but the last, which gives the places of the packed pieces. Texts that a stage
+changes have their ``n_chars`` counted anew.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from curbside.llm import language_id, line_dedup, packing, secret_scan, simhash
 from curbside.llm.common import staged
+from curbside.llm.queries import RANKS, TOKENIZER
+
+MIN_SCORE = 0.1  # a document that is farther from every language's profile is no text in a learned language
+
+
+def recounted(docs: DataFrame) -> DataFrame:
+    """n_chars as the text has them; a null text keeps what it had."""
+    return docs.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or unlike all languages, go; the others get the predicted language."""
+    found = language_id.predicted(docs, language_id.learned(docs))
+    kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def drop_common_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks of lines that an earlier document has go; a document of which no word is left goes whole."""
+    shorter = line_dedup.deduplicated(docs)
+    left = shorter.filter(F.col("removed").isNull() | F.col("text").rlike(r"\S"))
+    return recounted(left.select(*docs.columns))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return simhash.representatives(docs)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; the documents stay."""
+    return recounted(secret_scan.redacted(docs))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in training sequences."""
+    return packing.pack(docs, TOKENIZER, RANKS)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_common_blocks),
+    ("simhash", drop_near_duplicates),
+    ("secret_scan", hide_secrets),
+    ("packing", pack_sequences),
+]
 
-# A learned language model and greedy packing are beyond SQL; tests compare run() with a plain version of every stage.
+# A learned language model, patience diff and greedy packing are beyond SQL; tests compare run() with plain stages.
 ORACLE_SQL = None
 
 

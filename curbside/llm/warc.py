@@ -125,6 +125,9 @@ def plan_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE) -> DataFrame:
     """Write page_id, url, payload, refers_to as records; returns the index. Evaluate it once: it writes."""
 
+    schema = pa.schema([("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("url", pa.string()),
+                        ("digest", pa.string())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: dict[str, list] = {c: [] for c in ("archive", "offset", "length", "url", "digest")}
         stream, place, opened = None, 0, None
@@ -148,7 +151,7 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE) -
                         index[c].append(v)
                     place += len(member)
                 if index["archive"]:
-                    yield pa.RecordBatch.from_pydict(index)
+                    yield pa.RecordBatch.from_pydict(index, schema=schema)
                     index = {c: [] for c in index}
         finally:
             if opened is not None:
