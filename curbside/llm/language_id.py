@@ -23,7 +23,7 @@ UNKNOWN = "und"
 _EDGE = 1  # code of a word end; a letter's is its code point plus two
 _BITS = 21
 _SPREAD = 32
-_SUMMED = 1 << 20  # n-gram counts that a task keeps before it hands them on
+_SUMMED = 1 << 20  # n-grams that a task counts at a time, and counts it keeps before it hands them on
 _LETTERS: dict[str, np.ndarray] = {}
 
 
@@ -86,7 +86,6 @@ def learned(docs: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        kept = 0
 
         def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
             grams, which = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
@@ -98,17 +97,25 @@ def learned(docs: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)], names=["lang", "gram", "n"])
 
+        waiting: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def count() -> None:
+            for lang, found in waiting.items():
+                held[lang] = [summed([*held.get(lang, []), _counted(np.concatenate(found))])]
+            waiting.clear()
+
         for batch in batches:
-            waiting: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 waiting.setdefault(lang, []).append(ngrams(text))
-            for lang, found in waiting.items():
-                held.setdefault(lang, []).append(_counted(np.concatenate(found)))
-                held[lang] = [summed(held[lang])]
-            kept = sum(len(p[0][0]) for p in held.values())
-            if kept > _SUMMED:
-                yield from flush()
-                held.clear()
+                size += len(waiting[lang][-1])
+                if size > _SUMMED:
+                    count()
+                    size = 0
+                    if sum(len(p[0][0]) for p in held.values()) > _SUMMED:
+                        yield from flush()
+                        held.clear()
+        count()
         yield from flush()
 
     counts = docs.filter("lang is not null and text is not null").select("lang", "text").mapInArrow(
