@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-LIMIT, LONGEST = 400_000, 64  # units kept at a time, characters of a unit that is kept
+LIMIT, LONGEST = 250_000, 64  # units kept at a time, characters of a unit that is kept
 
 
 class UnitCache:
