@@ -28,6 +28,7 @@ from curbside.session import scratch_path
 
 ARCHIVE = 64 << 20  # bytes after which a task begins the next archive
 READ, GAP = 8 << 20, 64 << 10  # a read spans at most READ and one record; gaps up to GAP are read over
+TASK_READS = 4  # reads of a task
 LEVEL = 1
 MIN_BYTES = 0
 DATE = "2000-01-01T00:00:00Z"  # records are a function of their row, so a repeated task writes the same bytes
@@ -188,7 +189,10 @@ def read_records(index: DataFrame, read_bytes: int = READ, gap: int = GAP) -> Da
 
     types = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
              ("payload_digest", pa.string()), ("payload", pa.binary()), ("refers_to", pa.int64())]
-    return coalesced(index, read_bytes).mapInArrow(work, RECORD)
+    # The ranges are few bytes but stand for many, so their number says how many tasks read them.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = -(-total // (TASK_READS * read_bytes)) or 1
+    return coalesced(index, read_bytes).repartition(tasks, "archive", "parts").mapInArrow(work, RECORD)
 
 
 def runs(parts: list[dict], gap: int) -> list[list[dict]]:
