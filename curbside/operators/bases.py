@@ -32,10 +32,10 @@ def base_last_seen(fhv: DataFrame, unit: str = "day", when: datetime = LAST_DAY,
 
 
 def base_license_pairs(fhvhv: DataFrame, base: str = "dbasenum", license: str = "licensenum") -> DataFrame:
-    """Distinct (base, license) of the app feed, the text NULL left out."""
+    """Distinct (base, license) of the app feed; the text NULL, in any case, is no base."""
     return (
-        fhvhv.filter(F.col(base) != "NULL")
-        .select(F.upper(base).alias("dbn"), F.col(license).alias("ln"))
+        fhvhv.select(F.upper(base).alias("dbn"), F.col(license).alias("ln"))
+        .filter(F.col("dbn") != "NULL")
         .distinct()
     )
 

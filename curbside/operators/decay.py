@@ -49,10 +49,11 @@ def decay_factor(age_ms: Column, half_life_minutes: float = HALF_LIFE_MINUTES) -
 
 def decayed_weight(events: DataFrame, by: Sequence[str], now: DataFrame, ts: str = "pu_dt",
                    half_life_minutes: float = HALF_LIFE_MINUTES) -> DataFrame:
-    """Sum of decayed unit weights per group, seen from the one-row table ``now``(now_ms)."""
-    aged = events.withColumn("_one", F.lit(1)).join(
-        F.broadcast(now.select("now_ms", F.lit(1).alias("_one"))), "_one"
-    )
+    """Sum of decayed unit weights per group, seen from the one-row table ``now``(now_ms).
+
+    The table is a scalar subquery, so more than one row is an error.
+    """
+    aged = events.withColumn("now_ms", now.select("now_ms").scalar())
     age = F.col("now_ms") - epoch_millis(F.col(ts))
     return aged.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.sum(decay_factor(age, half_life_minutes)).alias("weight")

@@ -57,7 +57,7 @@ SELECT dbn, ls FROM (SELECT UPPER(dbasenum) AS dbn, MAX(pu_dt) AS ls FROM trips_
   WHERE dataset='fhv' AND dbasenum IS NOT NULL GROUP BY 1) WHERE date_trunc('month', ls) = TIMESTAMP '2001-10-01'
 """
 PAIRS = """
-SELECT DISTINCT UPPER(dbasenum) AS dbn, licensenum AS ln FROM trips_raw WHERE dataset='fhvhv' AND dbasenum <> 'NULL'
+SELECT DISTINCT UPPER(dbasenum) AS dbn, licensenum AS ln FROM trips_raw WHERE dataset='fhvhv' AND UPPER(dbasenum) <> 'NULL'
 """
 BREAKDOWN = """
 SELECT COALESCE(a.dbn, b.dbn) AS dbn, a.ls, b.ln,
@@ -463,6 +463,10 @@ def oracle_sql() -> dict[str, str]:
         "join_thresholds": using("limits", query=(
             "SELECT label, fare, COUNT(*) AS n, MAX(fee_tip) AS max_tip FROM buckets JOIN limits USING (label, fare) "
             "WHERE fee_tip < tip_max GROUP BY 1, 2")),
+        "decode_messages": using("trip_events", query=(
+            "SELECT pu_borough, COUNT(*) AS n, COUNT(fare_usd) FILTER (WHERE event_id % 6 < 2) AS fares, "
+            "MAX(fare_usd) FILTER (WHERE event_id % 6 < 2) AS most, MIN(pu_dt) AS first "
+            "FROM trip_events WHERE event_id % 6 < 4 GROUP BY 1")),
         "join_zone_lookup": using("trip_events", query="SELECT event_id, pu_locid, do_locid, pu_borough, do_borough FROM trip_events"),
         "join_semi_top_zones": using("top", query=(
             "SELECT * FROM arcs WHERE pu_locid IN (SELECT locid FROM top) AND do_locid IN (SELECT locid FROM top)")),

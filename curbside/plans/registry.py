@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -26,6 +27,8 @@ CONFORMED = (
     "tpep_pickup_datetime timestamp_ntz, pulocationid int, year int"
 )
 SIX_HOURS = 6 * 3600
+# Micro-batches of a replayed stream.
+SLICES = 2
 # The fixture's features lie close together; a smaller radius gives several micro-clusters.
 TAU = 1.0
 
@@ -137,7 +140,7 @@ def sink_format_matrix(spark, sf):
 def format_report(spark, sf):
     table, base = _formats_table(spark, sf), scratch_path(spark, "formats")
     formats.write_formats(table, base)
-    return formats.format_report(spark, base, table.schema, total_seconds=0.5)
+    return formats.format_report(spark, base, table.schema)
 
 
 # --- profiling ---------------------------------------------------------------------------
@@ -540,14 +543,29 @@ def rolling_stats_latest(spark, sf):
     return _rolled(rolling.latest_stats(rows, "pu_borough", "pu_dt", SIX_HOURS))
 
 
-def _event_stream(spark, sf, start) -> None:
+def _event_stream(spark, sf, start, slices: int = SLICES) -> None:
     """Replay the events as JSON messages in time order, a micro-batch per slice."""
     rows = views.trip_events(spark, sf)
-    slices = 2 + views.table(spark, sf, "events").count() // 10_000_000
     parts = [events.encode_events(p) for p in time_slices(rows, "pu_dt", slices)]
     replay(spark, parts, start)
 
 
+def decode_messages(spark, sf):
+    """Events whose fares come as numbers, as text, as bad text, as NaN, or in broken JSON."""
+    rows = views.trip_events(spark, sf)
+    fare = r'"fare_usd":([^,}]+)'
+    value = F.col("value")
+    forms = [
+        value, F.regexp_replace(value, fare, '"fare_usd":"$1"'), F.regexp_replace(value, fare, '"fare_usd":"n/a"'),
+        F.regexp_replace(value, fare, '"fare_usd":"NaN"'), F.concat(value, F.lit("}{")), F.regexp_replace(value, "}$", ""),
+    ]
+    encoded = [events.encode_events(rows.filter(F.col("event_id") % len(forms) == i)).select(form.alias("value"))
+               for i, form in enumerate(forms)]
+    return events.decode_events(reduce(DataFrame.unionAll, encoded)).groupBy("pu_borough").agg(
+        F.count(F.lit(1)).alias("n"), F.count("fare_usd").alias("fares"), F.max("fare_usd").alias("most"),
+        F.min("pu_dt").alias("first"))
+
+
 def _rolling_report(spark, sf) -> RollingReport:
     report = RollingReport(scratch_path(spark, "rolling"), SIX_HOURS)
     _event_stream(spark, sf, lambda s, progress: report.writer(events.decode_events(s), progress))
@@ -694,6 +712,7 @@ def queries() -> dict[str, Query]:
         "operator_breakdown": operator_breakdown,
         "trip_events": trip_events,
         "trip_event_keys": trip_event_keys,
+        "decode_messages": decode_messages,
         "rolling_stats_batch": _rolling_batch(15 * 60),
         "rolling_stats_batch_6h": _rolling_batch(SIX_HOURS),
         "rolling_stats_latest": rolling_stats_latest,

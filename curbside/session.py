@@ -51,8 +51,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; reads at most one row more."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether the table has at most ``max_rows`` rows; every partition counts its own."""
+    return df.count() <= max_rows
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables through the file system that Hadoop has for them."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:

@@ -6,14 +6,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from curbside.session import checkpointed, scratch_path, small_side
+from curbside.session import checkpointed, remove, scratch_path, small_side
 
 # Fixed value: compression level of repacked files.
 ZSTD_LEVEL = 6
 
-# The numbering plan has one short row per (staged file, key); up to this many are broadcast.
-PLAN_ROWS = 2_000_000
-
 
 def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
            preprocess: Callable[[DataFrame], DataFrame] | None = None, level: int = ZSTD_LEVEL,
@@ -55,7 +52,7 @@ def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
     files_per_task = max(1, -(-total // max_tasks))
     tasks = max(1, -(-total // files_per_task))
     position = F.col("_before") + F.col("_row") - F.col("_first")
-    numbered = staged.join(small_side(plan, PLAN_ROWS), ["_file", *keys]).withColumn(
+    numbered = staged.join(small_side(plan), ["_file", *keys]).withColumn(
         "_out", F.col("_base") + F.floor(position / rows_per_file)
     )
     placed = (
@@ -73,6 +70,7 @@ def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
         .option("maxRecordsPerFile", rows_per_file)
         .parquet(dst)
     )
+    remove(spark, stage)
 
 
 def rebalance(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int) -> None:

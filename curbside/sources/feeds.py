@@ -127,13 +127,14 @@ def read_months(
 ) -> DataFrame:
     """Rows of a category's monthly files with ``src_year`` and ``src_month`` from the name.
 
-    The month condition is on the file path alone, so Spark drops older files before reading.
+    The conditions are on the file path alone, so Spark drops other files before reading. All
+    months must have one schema; ``read_conformed`` takes months whose types drift.
     """
     rows = spark.read.option("recursiveFileLookup", "true").parquet(
         f"{folder}/*{category}_????-??.parquet"
     )
-    _, year, month = month_columns(F.col("_metadata.file_path"))
-    return rows.filter(from_start(year, month, start)).select(
+    found, year, month = month_columns(F.col("_metadata.file_path"))
+    return rows.filter((found == category) & from_start(year, month, start)).select(
         "*", year.alias("src_year"), month.alias("src_month")
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -131,8 +132,7 @@ def micro_clusters(events: DataFrame, tau: float = TAU, max_micro: int = MAX_MIC
 
 def at_common_time(micro: DataFrame, half_life_minutes: float = HALF_LIFE_MINUTES) -> DataFrame:
     """Clusters of all shards decayed to the newest clock; weights and sums then add up."""
-    now = micro.agg(F.max("clock_ms").alias("now_ms")).withColumn("_one", F.lit(1))
-    joined = micro.withColumn("_one", F.lit(1)).join(F.broadcast(now), "_one").drop("_one")
+    joined = micro.withColumn("now_ms", micro.agg(F.max("clock_ms")).scalar())
     factor = decay_factor(F.col("now_ms") - F.col("clock_ms"), half_life_minutes)
     scaled = joined.withColumn("_f", factor)
     return scaled.withColumns({
@@ -207,11 +207,15 @@ def macro_summary(macro: DataFrame) -> DataFrame:
     )
 
 
+def summary_messages(macro: DataFrame, report_ms: int) -> DataFrame:
+    """The summary as a message: its key is the report's time in epoch milliseconds."""
+    return macro_summary(macro).select(F.lit(str(report_ms)).alias("key"), "value")
+
+
 def macro_report(macro: DataFrame) -> DataFrame:
-    """Readable lines: weight and the time and amount features of every center."""
+    """Centers as typed columns: share of the weight, hour of day, and the four amount features."""
     c = F.col("center")
-    line = F.format_string(
-        "C%d w=%.2f | hour(sin)=%.3f hour(cos)=%.3f dist=%.3f fare=%.3f tip=%.3f dur=%.3f",
-        F.col("id"), F.col("weight"), c[0], c[1], c[4], c[5], c[6], c[7],
-    )
-    return macro.select("id", line.alias("line"))
+    hour = F.pmod(F.atan2(c[0], c[1]) * (12.0 / math.pi), F.lit(24.0))
+    amounts = [c[4 + i].alias(name) for i, name in enumerate(("distance", "fare", "tip", "duration"))]
+    total = macro.agg(F.sum("weight")).scalar()
+    return macro.select("id", "weight", (F.col("weight") / total).alias("share"), hour.alias("hour"), *amounts)

@@ -25,12 +25,8 @@ EVENT_FIELDS = (
     "dataset", "pu_dt", "do_dt", "pu_locid", "do_locid", "pu_borough", "do_borough",
     "distance_miles", "fare_usd", "tip_usd", "duration_minutes",
 )
-# Zone ids may arrive as 132.0, so they are read as doubles and cut to integers.
-_WIRE = (
-    "dataset string, pu_dt string, do_dt string, pu_locid double, do_locid double, "
-    "pu_borough string, do_borough string, distance_miles double, fare_usd double, "
-    "tip_usd double, duration_minutes double, _bad string"
-)
+# Every field is read as text, so a wrong one costs its own value and not the event.
+_WIRE = ", ".join(f"{name} string" for name in (*EVENT_FIELDS, "_bad"))
 
 
 def topic_name(dataset: str, year: int, topic: str | None = None) -> str:
@@ -71,10 +67,11 @@ def encode_events(events: DataFrame) -> DataFrame:
     )
 
 
-def decode_events(messages: DataFrame, observe: str | None = None) -> DataFrame:
-    """Events from JSON values; messages that are not valid events are skipped.
+def decode_events(messages: DataFrame, observe: str | None = "decoded_messages") -> DataFrame:
+    """Events from JSON values; only messages that are no JSON objects are skipped.
 
-    With ``observe`` the counts of good and bad messages are reported as query metrics.
+    Numbers may come as text, and zone ids as 132.0; what is no finite number is null. The counts of
+    good and bad messages are reported as query metrics under the name ``observe``.
     """
     parsed = messages.select(
         F.from_json("value", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e")
@@ -83,12 +80,10 @@ def decode_events(messages: DataFrame, observe: str | None = None) -> DataFrame:
     if observe:
         parsed = parsed.observe(observe, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
     good = parsed.filter(~bad).select("e.*").drop("_bad")
-    return good.withColumns({
-        "pu_dt": iso_parse(F.col("pu_dt")),
-        "do_dt": iso_parse(F.col("do_dt")),
-        "pu_locid": F.col("pu_locid").cast("int"),
-        "do_locid": F.col("do_locid").cast("int"),
-    })
+    numbers = {c: finite(F.col(c).try_cast("double")) for c in ("distance_miles", "fare_usd", "tip_usd", "duration_minutes")}
+    ids = {c: finite(F.col(c).try_cast("double")).try_cast("int") for c in ("pu_locid", "do_locid")}
+    times = {c: iso_parse(F.col(c)) for c in ("pu_dt", "do_dt")}
+    return good.withColumns(numbers | ids | times)
 
 
 def in_pickup_order(events: DataFrame, parts: int) -> DataFrame:

@@ -7,26 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from curbside.session import scratch_path
+from curbside.session import remove, scratch_path
 
 
 def time_slices(events: DataFrame, ts: str, slices: int) -> list[DataFrame]:
-    """The events cut into equal spans of event time, oldest first."""
-    low, high = events.agg(F.min(ts), F.max(ts)).first()
-    step = (high - low) / slices
-    column = F.col(ts)
-    parts = []
-    for i in range(slices):
-        start = F.lit(low + i * step).cast("timestamp_ntz")
-        end = F.lit(low + (i + 1) * step).cast("timestamp_ntz")
-        if i == 0:
-            part = events.filter(column < end) if slices > 1 else events
-        elif i == slices - 1:
-            part = events.filter(column >= start)
-        else:
-            part = events.filter((column >= start) & (column < end))
-        parts.append(part)
-    return parts
+    """The events cut into equal spans of event time, oldest first.
+
+    They are written once, a folder per slice, so a slice reads no other's events. Events without a
+    time are in no slice unless there is one alone.
+    """
+    if slices == 1:
+        return [events]
+    low, high = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("low", "high"))
+    span = events.agg(F.min(ts).alias("low"), F.max(ts).alias("high")).select(low, high).first()
+    at = F.unix_micros(F.col(ts).cast("timestamp")) - F.lit(span[0])
+    width = max(1, -(-((span[1] or 0) - (span[0] or 0) + 1) // slices))
+    path = scratch_path(events.sparkSession, "slices")
+    events.withColumn("_slice", F.floor(at / width).cast("int")).write.partitionBy("_slice").parquet(path)
+    written = events.sparkSession.read.schema(f"{events.schema.toDDL()}, _slice int").parquet(path)
+    return [written.filter(F.col("_slice") == i).drop("_slice") for i in range(slices)]
 
 
 def replay(spark: SparkSession, parts: list[DataFrame],
@@ -47,3 +46,4 @@ def replay(spark: SparkSession, parts: list[DataFrame],
         stream = reader.parquet(folder)
         query = start(stream, progress).trigger(availableNow=True).start()
         query.awaitTermination()
+    remove(spark, folder)

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from curbside.operators.rolling import ATTRIBUTES, usable, window_stats
-from curbside.session import small_side
+from curbside.session import remove, small_side
 
 # Defaults of the rolling report.
 WINDOW_SECONDS = 15 * 60
 REPORT_TRIGGER = "10 seconds"
 TOP_N = 10
+# Reports of older batches are removed.
+KEEP_REPORTS = 100
 
 # State slots: the batch at work, the one before it, and a spare.
 SLOTS = 3
@@ -49,12 +51,13 @@ class RollingReport:
     last event time and the zone counts since the start. Batches take turns over three slots, so
     the state stays bounded, and a batch that is run again still finds the slot of the batch
     before it and overwrites its own: the report is the same after a failure. Idle keys keep their
-    last window. All of it is partial aggregates and filters; no key is gathered in one task.
+    last window. The reports of the last ``keep`` batches stay readable. All of it is partial aggregates and filters; no key is gathered in one task.
     """
 
     path: str
     window_seconds: int = WINDOW_SECONDS
     top_n: int = TOP_N
+    keep: int = KEEP_REPORTS
     values: Sequence[str] = ATTRIBUTES
     ts: str = "pu_dt"
 
@@ -64,6 +67,9 @@ class RollingReport:
     def _report(self, batch: int) -> str:
         return f"{self.path}/report/batch={batch}"
 
+    def _top(self, batch: int) -> str:
+        return f"{self.path}/top/batch={batch}"
+
     def _with_earlier(self, spark: SparkSession, name: str, batch: int, rows: DataFrame) -> DataFrame:
         if batch == 0:
             return rows
@@ -82,6 +88,9 @@ class RollingReport:
         counts = timed.filter(F.col("pu_locid").isNotNull()).groupBy("pu_locid").agg(F.count(F.lit(1)).alias("seen"))
         counts = self._with_earlier(spark, "counts", batch, counts).groupBy("pu_locid").agg(F.sum("seen").alias("seen"))
         counts.write.mode("overwrite").parquet(self._state("counts", batch))
+        seen = spark.read.schema(counts.schema).parquet(self._state("counts", batch))
+        top = seen.orderBy(F.col("seen").desc(), "pu_locid").limit(self.top_n)
+        top.write.mode("overwrite").parquet(self._top(batch))
 
         scopes = F.array(
             F.struct(F.lit("borough").alias("scope"), F.col("pu_borough").alias("key")),
@@ -101,6 +110,8 @@ class RollingReport:
         live = rows.join(last, ["scope", "key"]).filter(F.col(self.ts) >= F.col("last_ts") - width)
         live.drop("last_ts").select(*rows.columns).write.mode("overwrite").parquet(self._state("live", batch))
         self.snapshot(spark, batch).write.mode("overwrite").parquet(self._report(batch))
+        if batch >= self.keep:
+            remove(spark, self._report(batch - self.keep), self._top(batch - self.keep))
 
     def snapshot(self, spark: SparkSession, batch: int) -> DataFrame:
         """Statistics of every borough and zone over its current window."""
@@ -112,9 +123,8 @@ class RollingReport:
         return report.filter(F.col("scope") == "borough").drop("scope").withColumnRenamed("key", "pu_borough")
 
     def top_zones(self, spark: SparkSession, batch: int) -> DataFrame:
-        """Top zones by rides since the start, with their window statistics, as of a recent batch."""
-        counts = spark.read.parquet(self._state("counts", batch))
-        top = counts.orderBy(F.col("seen").desc(), "pu_locid").limit(self.top_n)
+        """Top zones by rides since the start, with their window statistics, as of any batch that is kept."""
+        top = spark.read.parquet(self._top(batch))
         report = spark.read.parquet(self._report(batch)).filter(F.col("scope") == "zone")
         stats = report.select(F.col("key").cast("int").alias("pu_locid"), *[c for c in report.columns if c not in ("scope", "key")])
         return top.join(stats, "pu_locid", "left")

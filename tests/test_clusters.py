@@ -114,9 +114,13 @@ def test_macro_clusters_cost_and_summary(spark, sf):
     assert cost <= 1.3 * min(lloyd_cost(points, weights, 5, s) for s in range(5))
     assert sum(r.weight for r in found) == pytest.approx(weights.sum())
     body = json.loads(clusters.macro_summary(macro).first().value)
+    message = clusters.summary_messages(macro, 1_700_000_000_000).first()
+    assert message.key == "1700000000000" and json.loads(message.value) == body
     assert body["k"] == 5 and [c["id"] for c in body["clusters"]] == list(range(5))
     assert set(body["clusters"][0]) == {"id", "weight", "center"}
-    assert clusters.macro_report(macro).filter("line like 'C%w=%'").count() == 5
+    report = clusters.macro_report(macro).orderBy("id").collect()
+    assert sum(r.share for r in report) == pytest.approx(1.0) and all(0 <= r.hour < 24 for r in report)
+    assert [r.fare for r in report] == [r.center[5] for r in sorted(found, key=lambda r: r.id)]
     assert clusters.macro_clusters(micro.limit(1), k=5).count() == 1
     assert clusters.macro_clusters(micro.limit(0), k=5).count() == 0
 

@@ -1,58 +1,44 @@
-import random
+import pytest
 
 from curbside.operators import evolution
 
+INT, INT_NULLS, DOUBLE, UNTYPED, UNTYPED_NULLS, ABSENT = ("int64", False), ("int64", True), ("double", False), ("null", False), ("null", True), None
 
-def replayed(files):
-    """Plain pass over the files: the state of every field after each of them."""
-    changes, state = [], {}
-    for i, fields in enumerate(files):
-        for name in sorted(state.keys() | fields.keys()):
-            shown = lambda s: ("?" if s[1] else "") + s[0]
-            if name not in fields:
-                changes.append((i, name, "-"))
-                del state[name]
-                continue
-            new_type, nulls = fields[name]
-            if name not in state:
-                state[name] = (new_type, nulls)
-                changes.append((i, name, (": " if i == 0 else "+ ") + shown(state[name])))
-                continue
-            old = state[name]
-            if (new_type, nulls) == old:
-                continue
-            if new_type == "null":
-                new_type, nulls = old[0], True
-            new = (new_type, nulls or old[1])
-            if new != old:
-                changes.append((i, name, f": {shown(old)} -> {shown(new)}"))
-                state[name] = new
-    return changes, {name: ("?" if n else "") + t for name, (t, n) in state.items()}
-
-
-def history(rng):
-    files = []
-    for _ in range(8):
-        fields = {}
-        for name in ("a", "b", "c", "A"):
-            if rng.random() < 0.75:
-                fields[name] = (rng.choice(["int64", "double", "null"]), rng.random() < 0.3)
-        files.append(fields)
-    files[0].setdefault("a", ("int64", False))
-    return files
-
-
-def test_random_histories_match_a_sequential_pass(spark):
-    rng = random.Random(5)
-    for _ in range(6):
-        # Several histories at once: the field name carries the history, every file has an anchor.
-        files = [history(rng) for _ in range(10)]
-        merged = [{f"{h}.{name}": v for h, one in enumerate(files) for name, v in one[i].items()} for i in range(8)]
-        for fields in merged:
-            fields["anchor"] = ("string", False)
-        rows = [(f"f{i}", name, t, n) for i, fields in enumerate(merged) for name, (t, n) in fields.items()]
-        profile = spark.createDataFrame(rows, "file string, field string, type string, has_nulls boolean")
-        want, final = replayed(merged)
-        got = sorted((int(r.file[1:]), r.field, r.change) for r in evolution.schema_changes(profile).collect())
-        assert got == sorted(want)
-        assert {r.field: r.schema for r in evolution.final_schema(profile).collect()} == final
+# What a field is in four files, the changes expected in them, and what remains at the end.
+HISTORIES = {
+    "steady": ([INT] * 4, {0: ": int64"}, "int64"),
+    "added": ([ABSENT, INT, INT, INT], {1: "+ int64"}, "int64"),
+    "dropped": ([INT, INT, ABSENT, ABSENT], {0: ": int64", 2: "-"}, None),
+    "dropped last": ([INT, INT, INT, ABSENT], {0: ": int64", 3: "-"}, None),
+    "added again": ([INT_NULLS, ABSENT, DOUBLE, DOUBLE], {0: ": ?int64", 1: "-", 2: "+ double"}, "double"),
+    "nullable stays": ([INT, INT_NULLS, INT, INT], {0: ": int64", 1: ": int64 -> ?int64"}, "?int64"),
+    "type changes": ([INT, DOUBLE, DOUBLE, INT], {0: ": int64", 1: ": int64 -> double", 3: ": double -> int64"}, "int64"),
+    "both change": ([INT, INT_NULLS, DOUBLE, DOUBLE], {0: ": int64", 1: ": int64 -> ?int64", 2: ": ?int64 -> ?double"}, "?double"),
+    "untyped keeps the type": ([INT, UNTYPED, INT, INT], {0: ": int64", 1: ": int64 -> ?int64"}, "?int64"),
+    "untyped at first": ([UNTYPED, INT, INT, INT], {0: ": null", 1: ": null -> int64"}, "int64"),
+    "untyped with nulls": ([UNTYPED_NULLS, DOUBLE, DOUBLE, DOUBLE], {0: ": ?null", 1: ": ?null -> ?double"}, "?double"),
+    "untyped throughout": ([UNTYPED] * 4, {0: ": null"}, "null"),
+    "untyped after a gap": ([DOUBLE, ABSENT, UNTYPED, DOUBLE], {0: ": double", 1: "-", 2: "+ null", 3: ": null -> double"}, "double"),
+}
+
+
+@pytest.fixture(scope="module")
+def profile(spark):
+    rows = [(f"f{i}", name, *state) for name, (states, _, _) in HISTORIES.items() for i, state in enumerate(states) if state]
+    return spark.createDataFrame(rows, "file string, field string, type string, has_nulls boolean")
+
+
+def test_changes(profile):
+    got = sorted((r.field, r.file, r.change) for r in evolution.schema_changes(profile).collect())
+    assert got == sorted((name, f"f{i}", change) for name, (_, changes, _) in HISTORIES.items() for i, change in changes.items())
+
+
+def test_final_schema(profile):
+    got = {r.field: r.schema for r in evolution.final_schema(profile).collect()}
+    assert got == {name: final for name, (_, _, final) in HISTORIES.items() if final}
+
+
+def test_field_names_differ_by_case(spark):
+    rows = [("f0", "a", "int64", False), ("f0", "A", "double", False), ("f1", "A", "double", False)]
+    profile = spark.createDataFrame(rows, "file string, field string, type string, has_nulls boolean")
+    assert {r.field: r.schema for r in evolution.final_schema(profile).collect()} == {"A": "double"}

@@ -41,6 +41,13 @@ def test_bad_messages_are_skipped_and_float_ids_become_integers(spark):
     assert [(r.pu_locid, r.pu_dt) for r in rows] == [(132, datetime(2024, 1, 1))]
 
 
+def test_a_wrong_field_costs_only_itself(spark):
+    values = ['{"fare_usd":"12.5","pu_locid":"7"}', '{"pu_locid":"n/a","tip_usd":1}', '{"fare_usd":"NaN","do_locid":3.0,"pu_dt":"x"}']
+    rows = events.decode_events(spark.createDataFrame([(v,) for v in values], "value string")).collect()
+    assert [(r.fare_usd, r.pu_locid, r.do_locid, r.tip_usd, r.pu_dt) for r in rows] == [
+        (12.5, 7, None, None, None), (None, None, None, 1.0, None), (None, None, 3, None, None)]
+
+
 def test_year_filter_and_source_columns(spark):
     t = [datetime(2023, 12, 31, 23, 59), datetime(2024, 1, 1), datetime(2024, 12, 31), datetime(2025, 1, 1)]
     raw = spark.createDataFrame([(a, a, 1, 2, 1.0, 2.0, 3.0) for a in t],
@@ -98,6 +105,19 @@ def test_repeated_batch_gives_the_same_state(spark, messages, tmp_path):
     assert sorted(map(tuple, report.boroughs(spark, 1).select("pu_borough", "n", "last_ts").collect())) == once
 
 
+def test_older_reports_keep_their_counts(spark, tmp_path):
+    report = RollingReport(str(tmp_path / "r"), 3600, top_n=5, keep=4)
+    schema = "pu_dt timestamp_ntz, pu_borough string, pu_locid int, distance_miles double, fare_usd double, tip_usd double"
+    for batch in range(5):
+        rows = [(datetime(2024, 1, 1, batch, i), "Queens", zone, 1.0, 2.0, 3.0) for i in range(2 + batch) for zone in (6, batch + 10)]
+        report.update(spark.createDataFrame(rows, schema), batch)
+        first = sorted((r.pu_locid, r.seen, r.n) for r in report.top_zones(spark, max(batch - 3, 0)).collect())
+        if batch < 4:
+            assert first == [(6, 2, 2), (10, 2, 2)]
+    assert first == [(6, 5, 3), (10, 2, 2), (11, 3, 3)]
+    assert not (tmp_path / "r" / "report" / "batch=0").exists()
+
+
 def test_sliding_windows_drop_nothing_in_order(spark, messages, tmp_path):
     out = str(tmp_path / "w")
 

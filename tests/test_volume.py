@@ -99,7 +99,7 @@ def test_last_seen_day_and_null_text(spark):
     rows = [("b1", datetime(2019, 1, 31, 23)), ("B1", datetime(2019, 1, 2)), ("b2", datetime(2019, 2, 1)), (None, datetime(2019, 1, 31))]
     df = spark.createDataFrame(rows, "dbasenum string, pu_dt timestamp_ntz")
     assert [r.dbn for r in bases.base_last_seen(df).collect()] == ["B1"]
-    pairs = spark.createDataFrame([("NULL", "x"), (None, "x"), ("b", "x"), ("B", "x")], "dbasenum string, licensenum string")
+    pairs = spark.createDataFrame([("NULL", "x"), ("null", "x"), ("Null", "y"), (None, "x"), ("b", "x"), ("B", "x")], "dbasenum string, licensenum string")
     assert [tuple(r) for r in bases.base_license_pairs(pairs).collect()] == [("B", "x")]
 
 
