@@ -557,7 +557,7 @@ def decode_messages(spark, sf):
     value = F.col("value")
     forms = [
         value, F.regexp_replace(value, fare, '"fare_usd":"$1"'), F.regexp_replace(value, fare, '"fare_usd":"n/a"'),
-        F.regexp_replace(value, fare, '"fare_usd":"NaN"'), F.concat(value, F.lit("}{")), F.regexp_replace(value, "}$", ""),
+        F.regexp_replace(value, fare, '"fare_usd":"NaN"'), F.regexp_replace(value, r"^\{", ""), F.regexp_replace(value, r"\}$", ""),
     ]
     encoded = [events.encode_events(rows.filter(F.col("event_id") % len(forms) == i)).select(form.alias("value"))
                for i, form in enumerate(forms)]

@@ -32,7 +32,7 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-def test_keys():
+def test_keys(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert len(contract.queries()) >= 80
 
