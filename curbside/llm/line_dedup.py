@@ -116,6 +116,8 @@ def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int = RARE, m
     held = kinds.select("o", F.explode(F.array_distinct(F.expr(
         f"transform(filter(arrays_zip(hs, ls), x -> x.ls >= {int(min_line)}), x -> x.hs)"))).alias("h"))
     holders = held.groupBy("h").agg(F.min("o").alias("first"), F.count("*").alias("n")).filter(F.col("n").between(2, rare))
+    # A written table, so that the join is of two plain shuffles and the rows of a very common line can be split.
+    holders, holders_path = staged(holders, "line-holders")
     near = held.join(holders, "h").filter("o != first").select("o", "first").distinct()
     pairs = near.join(sequences.select("o", F.col("hs").alias("b"), F.col("ls").alias("sizes")), "o").join(
         sequences.select(F.col("o").alias("first"), F.col("hs").alias("a")), "first")
@@ -133,7 +135,7 @@ def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int = RARE, m
     gone = found.unionByName(whole).groupBy("o").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"))
     result, path = staged(gone.select(
         F.when(~F.col("o.z"), F.col("o.id")).alias("doc_id"), "o.k1", "o.k2", "removed"), "removed-lines")
-    discard(docs.sparkSession, sequences_path, copies_path)
+    discard(docs.sparkSession, sequences_path, copies_path, holders_path)
     return result, path
 
 

@@ -256,11 +256,12 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, batc
     anchors, anchors_path = staged(suffixes(docs, span, anchor, batches), "suffixes", ["batch"])
     family = SuffixLevels()
     found = [family.add(anchors.filter(F.col("batch") == b)) for b in range(batches)]
-    hits = reduce(DataFrame.unionAll, [h for h, _ in found]).distinct()
+    # A written table, so that the join below is of two plain shuffles and a prefix with many places can be split.
+    hits, hits_path = staged(reduce(DataFrame.unionAll, [h for h, _ in found]).distinct(), "all-hits")
     places, places_path = staged(
         anchors.drop("batch").join(hits.hint("merge"), "h", "left_semi"), "places")
     family.drop()
-    discard(spark, anchors_path, *[p for _, p in found])
+    discard(spark, anchors_path, hits_path, *[p for _, p in found])
 
     kinds, kinds_path = staged(
         places.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "s0", "s1")).alias("at")), "kinds")
