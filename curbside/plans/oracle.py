@@ -379,6 +379,19 @@ def _features() -> str:
     return using("trip_events", query=f"SELECT event_id, {picked} FROM trip_events")
 
 
+def _borough_centers() -> str:
+    """Faded weight and weighted means of the scaled amounts, per borough that has not faded away."""
+    amounts = {"distance": ("distance_miles", 5), "fare": ("fare_usd", 6), "tip": ("tip_usd", 5), "duration": ("duration_minutes", 6)}
+    means = ", ".join(
+        f"ROUND(SUM(w * CASE WHEN {c} > 0 THEN ln(1 + {c}) ELSE 0 END / {scale}) / SUM(w), 6) AS {name}"
+        for name, (c, scale) in amounts.items())
+    known = "CASE WHEN pu_borough IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST') THEN pu_borough END"
+    return using("trip_events", query=(
+        f"SELECT borough, ROUND(SUM(w), 6) AS weight, {means} FROM (SELECT *, {known} AS borough, "
+        "pow(0.5, (MAX(epoch_us(pu_dt) // 1000) OVER () - epoch_us(pu_dt) // 1000) / (360 * 60000.0)) AS w FROM trip_events) "
+        "GROUP BY 1 HAVING SUM(w) > 1e-6"))
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per registered key, where SQL can express it."""
     fare_tip = (
@@ -566,6 +579,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_features": _features(),
         "decayed_weight": using("trip_events", query=(
             f"SELECT pu_borough, COUNT(*) AS n, CAST(CAST({decayed} AS FLOAT) AS DOUBLE) AS weight FROM {aged} GROUP BY 1")),
+        "micro_centers": _borough_centers(),
+        "macro_centers": _borough_centers(),
         "micro_cluster_weight": using("trip_events", query=(
             f"SELECT ROUND({decayed}, 2) AS weight, MAX(ms) AS clock_ms FROM {aged}")),
     }

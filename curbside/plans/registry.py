@@ -17,6 +17,7 @@ from curbside.sinks.parquet import file_rows, repack
 from curbside.sources import feeds
 from curbside.sources.generations import read_conformed
 from curbside.streaming import clusters, events
+from curbside.streaming.frozen import ClusterTable
 from curbside.streaming.replay import replay, time_slices
 from curbside.streaming.rolling import RollingReport, sliding_stats
 
@@ -607,37 +608,57 @@ def decayed_weight(spark, sf):
     return single(weights, "weight")
 
 
-def _micro(spark, sf, shards: int) -> DataFrame:
-    out = scratch_path(spark, "micro")
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+def _micro(spark, sf, tau: float = TAU, spread: float = 1.0) -> DataFrame:
+    """Micro-clusters of the replayed events; ``spread`` scales the borough part of the features."""
+    table = ClusterTable(scratch_path(spark, "micro"), tau=tau)
+    ones = F.transform(F.slice("features", 9, len(views.BOROUGHS)), lambda v: v * spread)
 
     def start(stream, progress):
         featured = decay.with_features(events.decode_events(stream), boroughs=views.BOROUGHS)
-        micro = clusters.micro_clusters(clusters.with_shard(featured, shards), tau=TAU)
-        return micro.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", progress)
+        if spread != 1.0:
+            featured = featured.withColumn("features", F.concat(F.slice("features", 5, 4), ones))
+        return table.writer(featured, progress)
 
     _event_stream(spark, sf, start)
-    written = spark.read.parquet(out)
-    newest = written.groupBy("shard").agg(F.max("batch").alias("batch"))
-    return clusters.at_common_time(written.join(F.broadcast(newest), ["shard", "batch"]).drop("batch"))
+    return table.clusters(spark)
 
 
 def micro_clusters(spark, sf):
-    return _micro(spark, sf, 4).select("shard", "cluster", "clock_ms", "weight", "radius")
+    return _micro(spark, sf).select("cluster", "clock_ms", "weight", "dropped", "radius", "centroid", "ls", "ss")
 
 
 def micro_cluster_weight(spark, sf):
-    return _micro(spark, sf, 4).agg(F.round(F.sum("weight"), 2).alias("weight"), F.max("clock_ms").alias("clock_ms"))
+    return _micro(spark, sf).agg(
+        F.round(F.sum("weight") + F.max("dropped"), 2).alias("weight"), F.max("clock_ms").alias("clock_ms"))
+
+
+# Amounts differ by less than this, boroughs by more once their part is spread.
+APART, SPREAD = 5.0, 20.0
+
+
+def _centers(df: DataFrame, center: str) -> DataFrame:
+    borough = [F.when(F.col(center)[4 + i] > SPREAD / 2, name) for i, name in enumerate(views.BOROUGHS)]
+    names = ("distance", "fare", "tip", "duration")
+    return df.select(F.coalesce(*borough).alias("borough"), F.round("weight", 6).alias("weight"),
+                     *[F.round(F.col(center)[i], 6).alias(name) for i, name in enumerate(names)])
+
+
+def micro_centers(spark, sf):
+    """Clusters of boroughs that lie far apart: each is its borough, with the faded means of the amounts."""
+    return _centers(_micro(spark, sf, APART, SPREAD), "centroid")
+
+
+def macro_centers(spark, sf):
+    """As many macro clusters as there are micro-clusters far apart: the same centers."""
+    return _centers(clusters.macro_clusters(_micro(spark, sf, APART, SPREAD)), "center")
 
 
 def macro_clusters(spark, sf):
-    return clusters.macro_clusters(_micro(spark, sf, 4)).select("id", "weight")
+    return clusters.macro_clusters(_micro(spark, sf))
 
 
 def macro_summary(spark, sf):
-    return clusters.macro_summary(clusters.macro_clusters(_micro(spark, sf, 1)))
+    return clusters.macro_summary(clusters.macro_clusters(_micro(spark, sf)))
 
 
 def queries() -> dict[str, Query]:
@@ -723,6 +744,8 @@ def queries() -> dict[str, Query]:
         "decayed_weight": decayed_weight,
         "micro_clusters": micro_clusters,
         "micro_cluster_weight": micro_cluster_weight,
+        "micro_centers": micro_centers,
         "macro_clusters": macro_clusters,
+        "macro_centers": macro_centers,
         "macro_summary": macro_summary,
     }

@@ -49,36 +49,52 @@ class MicroClusters:
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ls: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     ss: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    dropped: float = 0.0
 
-    def advance(self, now_ms: int) -> None:
-        if now_ms <= self.clock_ms:
-            return
-        if len(self.weight):
+    def _keep(self, kept: np.ndarray) -> None:
+        self.dropped += float(self.weight[~kept].sum())
+        self.weight, self.ls, self.ss = self.weight[kept], self.ls[kept], self.ss[kept]
+
+    def advance_all(self, now_ms: int) -> None:
+        """Fade every weight, also that of dropped clusters, to a later time."""
+        if now_ms > self.clock_ms:
             factor = 0.5 ** ((now_ms - self.clock_ms) / self.half_life_ms)
             self.weight, self.ls, self.ss = self.weight * factor, self.ls * factor, self.ss * factor
-            alive = self.weight > NEGLIGIBLE
-            if not alive.all():
-                self.weight, self.ls, self.ss = self.weight[alive], self.ls[alive], self.ss[alive]
-        self.clock_ms = now_ms
+            self.dropped *= factor
+            self.clock_ms = now_ms
 
-    def add(self, x: np.ndarray, now_ms: int) -> None:
-        self.advance(now_ms)
+    def forget(self) -> None:
+        """Drop what has faded."""
+        alive = self.weight > NEGLIGIBLE
+        if not alive.all():
+            self._keep(alive)
+
+    def advance(self, now_ms: int) -> None:
+        if now_ms > self.clock_ms:
+            self.advance_all(now_ms)
+            self.forget()
+
+    def join(self, weight: float, ls: np.ndarray, ss: np.ndarray) -> None:
+        """A point, or a whole cluster, goes to the nearest cluster or becomes one of its own."""
         if len(self.weight):
-            gaps = self.ls / self.weight[:, None] - x
+            gaps = self.ls / self.weight[:, None] - ls / weight
             squared = np.einsum("ij,ij->i", gaps, gaps)
             nearest = int(squared.argmin())
             if squared[nearest] <= self.tau * self.tau:
-                self.weight[nearest] += 1.0
-                self.ls[nearest] += x
-                self.ss[nearest] += x * x
+                self.weight[nearest] += weight
+                self.ls[nearest] += ls
+                self.ss[nearest] += ss
                 return
-            self.weight = np.append(self.weight, 1.0)
-            self.ls, self.ss = np.vstack([self.ls, x]), np.vstack([self.ss, x * x])
+            self.weight = np.append(self.weight, weight)
+            self.ls, self.ss = np.vstack([self.ls, ls]), np.vstack([self.ss, ss])
         else:
-            self.weight, self.ls, self.ss = np.ones(1), x[None, :].copy(), (x * x)[None, :]
+            self.weight, self.ls, self.ss = np.array([float(weight)]), ls[None, :].copy(), ss[None, :].copy()
         if len(self.weight) > self.max_micro:
-            keep = np.arange(len(self.weight)) != self.weight.argmin()
-            self.weight, self.ls, self.ss = self.weight[keep], self.ls[keep], self.ss[keep]
+            self._keep(np.arange(len(self.weight)) != self.weight.argmin())
+
+    def add(self, x: np.ndarray, now_ms: int) -> None:
+        self.advance(now_ms)
+        self.join(1.0, x, x * x)
 
 
 def with_shard(events: DataFrame, shards: int, ts: str = "pu_dt", spread: str = "pu_locid") -> DataFrame:
@@ -147,12 +163,15 @@ def _squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-def _with_nearest(points: DataFrame, centers: list[list[float]]) -> DataFrame:
-    """Add id and squared distance of the nearest center; the lower id wins a tie."""
+def nearest_center(point: Column, centers: list[list[float]]) -> Column:
+    """Squared distance ``d2`` and ``id`` of the nearest center; the lower id wins a tie."""
     table = F.array(*[F.array(*map(F.lit, center)) for center in centers])
-    options = F.transform(table, lambda c, i: F.struct(
-        _squared_distance(F.col("centroid"), c).alias("d2"), i.alias("id")))
-    return points.withColumn("_best", F.array_min(options)).select(
+    return F.array_min(F.transform(table, lambda c, i: F.struct(_squared_distance(point, c).alias("d2"), i.alias("id"))))
+
+
+def _with_nearest(points: DataFrame, centers: list[list[float]]) -> DataFrame:
+    """Add id and squared distance of the nearest center."""
+    return points.withColumn("_best", nearest_center(F.col("centroid"), centers)).select(
         "centroid", "weight", F.col("_best.id").alias("id"), F.col("_best.d2").alias("d2")
     )
 
