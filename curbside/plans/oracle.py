@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from curbside.operators.clean import EXTRAS, RENAMES
 from curbside.plans.views import EXTRA_SOURCE
-from curbside.sources.feeds import FEEDS, feed_schema
+from curbside.sources.feeds import FEED_SCHEMAS, FEEDS
 
 TRIPS_RAW = """
 SELECT
@@ -286,16 +286,17 @@ _SQL_TYPES = {"float": "FLOAT", "int": "INT", "tinyint": "INT", "string": "VARCH
 
 
 def _universal() -> str:
+    filler = {kind.simpleString(): value for kind, value in EXTRA_SOURCE.items()}
     parts = []
     for feed in FEEDS:
-        types = {f.name: f.dataType for f in feed_schema(feed).fields}
-        inner = [f"CAST({new} AS {_SQL_TYPES[types[old].simpleString()]}) AS {new}" for old, new in RENAMES[feed].items()]
-        inner += [f"CAST({EXTRA_SOURCE[types[c]]} AS {_SQL_TYPES[types[c].simpleString()]}) AS x_{c}" for c in EXTRAS[feed]]
+        types = dict(column.split() for column in FEED_SCHEMAS[feed].split(","))
+        inner = [f"CAST({new} AS {_SQL_TYPES[types[old]]}) AS {new}" for old, new in RENAMES[feed].items()]
+        inner += [f"CAST({filler[types[c]]} AS {_SQL_TYPES[types[c]]}) AS x_{c}" for c in EXTRAS[feed]]
         kinds = {new: types[old] for old, new in RENAMES[feed].items()} | {f"x_{c}": types[c] for c in EXTRAS[feed]}
         outer = []
         for name, kind in kinds.items():
             value = CLEAN.get(name, name)
-            outer.append((f"CAST({value} AS DOUBLE)" if kind.simpleString() == "float" else value) + f" AS {name}")
+            outer.append((f"CAST({value} AS DOUBLE)" if kind == "float" else value) + f" AS {name}")
         parts.append(f"SELECT '{feed}' AS dataset, {', '.join(outer)} FROM (SELECT {', '.join(inner)} "
                      f"FROM trips_raw WHERE dataset = '{feed}')")
     return using("trips_raw", query=" UNION ALL BY NAME ".join(parts))
