@@ -115,7 +115,9 @@ class ClusterTable:
             age = F.lit(max(newest, before)) - F.greatest("event_ms", F.lit(before))
             aged = placed.withColumn("weight", decay_factor(age, self.half_life_minutes))
             sums = self._summed(aged, len(centers[0])).collect() if centers else []
-            new = self._reduced(aged.filter(F.col("id").isNull() & (F.col("weight") > VANISHED))).toPandas()
+            reduced, leftovers_path = self._reduced(aged.filter(F.col("id").isNull() & (F.col("weight") > VANISHED)))
+            new = reduced.toPandas()
+            remove(spark, leftovers_path)
             clusters.advance_all(int(newest))
             for row in sums:
                 clusters.weight[row.id] += row.weight
@@ -137,8 +139,8 @@ class ClusterTable:
             F.sum("weight").alias("weight"), F.array(*[F.sum(w * x[i]) for i in range(dims)]).alias("ls"),
             F.array(*[F.sum(w * x[i] * x[i]) for i in range(dims)]).alias("ss"))
 
-    def _reduced(self, left: DataFrame) -> DataFrame:
-        """Clusters of the events far from all centers, from at most ``FAN_IN`` partitions."""
+    def _reduced(self, left: DataFrame) -> tuple[DataFrame, str]:
+        """Clusters of the events far from all centers, from at most ``FAN_IN`` partitions; and the staged table below them."""
         w: Column = F.col("weight")
         points = left.select("weight", F.transform("features", lambda v: v * w).alias("ls"),
                              F.transform("features", lambda v: v * v * w).alias("ss"))
@@ -151,7 +153,7 @@ class ClusterTable:
             merged = found.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("part").applyInPandas(
                 _merge(self.tau, self.max_micro), _PART)
             found, parts = merged, -(-parts // FAN_IN)
-        return found
+        return found, path
 
     def clusters(self, spark: SparkSession, number: int | None = None) -> DataFrame:
         """(cluster, clock_ms, weight, dropped, centroid, radius, ls, ss) after a micro-batch, the newest by default."""
