@@ -1,10 +1,12 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
-* Lines are compared by 64-bit hashes of their whole text. A line of ``min_line`` characters or more is rare if two to
-  ``rare`` different documents hold it; a line that even more hold says nothing about two documents.
+* Lines are compared by 64-bit hashes of their whole text. Short lines are the frequent ones, so a line of ``min_line``
+  characters or more that two documents hold counts as rare. ``rare`` may bound its holders further; there is no bound
+  unless asked for, since a passage must not stay because many documents share it.
 * Documents with the same sequence of lines count once here: all but the earliest are later documents of that one.
 * A document is aligned with the earliest holder of each of its rare lines, so a line makes as many pairs as it has
-  holders, not their square. Documents are ordered by doc_id (null last), then text key.
+  holders, not their square. Documents are ordered by doc_id (null last), then text key. A holder that many documents
+  are aligned with is dealt out with ``FAN`` of them at a time.
 * Patience diff aligns the two: lines that are unique in both, in their longest common order, then again between them.
   Maximal aligned blocks of ``min_block`` characters or more are deleted from the later document. Lines that are not
   rare go with a block like any other.
@@ -22,7 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from curbside.llm.common import discard, map_arrow, staged, text_key, text_of
 
-MIN_LINE, RARE, MIN_BLOCK = 20, 1000, 40
+MIN_LINE, RARE, MIN_BLOCK = 20, None, 40
+FAN = 500  # documents aligned with one copy of an earlier document, about
 
 
 def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -103,7 +106,17 @@ def _sequences(docs: DataFrame) -> DataFrame:
     )
 
 
-def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int = RARE, min_block: int = MIN_BLOCK) -> tuple[DataFrame, str]:
+def _dealt(near: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (o, first) with the part of ``first`` they go to, and one row for every part of a ``first``."""
+    parts = near.groupBy("first").agg(F.ceil(F.count("*") / F.lit(fan)).cast("int").alias("parts"))
+    split = near.join(parts.filter("parts > 1"), "first", "left")
+    part = F.coalesce(F.pmod(F.xxhash64("o"), F.col("parts")).cast("int"), F.lit(0)).alias("part")
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    return split.select("o", "first", part), parts.select("first", each)
+
+
+def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = RARE, min_block: int = MIN_BLOCK,
+                  fan: int = FAN) -> tuple[DataFrame, str]:
     """Per document (doc_id, k1, k2) that loses any: ``removed``, positions of lines; and the table's path."""
     sequences, sequences_path = staged(_sequences(docs), "lines")
     same = [F.xxhash64("hs").alias("s1"), F.hash("hs").alias("s2"), F.size("hs").alias("s3")]
@@ -115,12 +128,16 @@ def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int = RARE, m
 
     held = kinds.select("o", F.explode(F.array_distinct(F.expr(
         f"transform(filter(arrays_zip(hs, ls), x -> x.ls >= {int(min_line)}), x -> x.hs)"))).alias("h"))
-    holders = held.groupBy("h").agg(F.min("o").alias("first"), F.count("*").alias("n")).filter(F.col("n").between(2, rare))
+    holders = held.groupBy("h").agg(F.min("o").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    if rare is not None:
+        holders = holders.filter(F.col("n") <= rare)
     # A written table, so that the join is of two plain shuffles and the rows of a very common line can be split.
     holders, holders_path = staged(holders, "line-holders")
-    near = held.join(holders, "h").filter("o != first").select("o", "first").distinct()
+    near, near_path = staged(held.join(holders, "h").filter("o != first").select("o", "first").distinct(), "line-pairs")
+    near, parts = _dealt(near, fan)
+    earlier = parts.join(sequences.select(F.col("o").alias("first"), F.col("hs").alias("a")), "first")
     pairs = near.join(sequences.select("o", F.col("hs").alias("b"), F.col("ls").alias("sizes")), "o").join(
-        sequences.select(F.col("o").alias("first"), F.col("hs").alias("a")), "first")
+        earlier, ["first", "part"])
 
     def align(batch: pa.RecordBatch) -> dict:
         a, b, sizes = (batch.column(c).to_pylist() for c in ("a", "b", "sizes"))
@@ -135,7 +152,7 @@ def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int = RARE, m
     gone = found.unionByName(whole).groupBy("o").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"))
     result, path = staged(gone.select(
         F.when(~F.col("o.z"), F.col("o.id")).alias("doc_id"), "o.k1", "o.k2", "removed"), "removed-lines")
-    discard(docs.sparkSession, sequences_path, copies_path, holders_path)
+    discard(docs.sparkSession, sequences_path, copies_path, holders_path, near_path)
     return result, path
 
 
@@ -147,12 +164,13 @@ def _left(text: Column, removed: Column) -> Column:
             F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed), lambda i: F.get(lines, i)), "\n")))
 
 
-def deduplicated(docs: DataFrame, min_line: int = MIN_LINE, rare: int = RARE, min_block: int = MIN_BLOCK) -> DataFrame:
+def deduplicated(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = RARE, min_block: int = MIN_BLOCK,
+                 fan: int = FAN) -> DataFrame:
     """The documents with shortened ``text`` and ``removed``, positions of deleted lines (null: none).
 
     All rows and columns stay but a column ``removed``, which is replaced.
     """
-    gone, _ = removed_lines(docs, min_line, rare, min_block)
+    gone, _ = removed_lines(docs, min_line, rare, min_block, fan)
     gone = gone.select(*[F.col(c).alias(f"_g_{c}") for c in gone.columns])
     rows = docs.drop("removed").select("*", *text_key(prefix="_t_"))
     same = (rows.doc_id.eqNullSafe(gone["_g_doc_id"])) & (rows["_t_k1"] == gone["_g_k1"]) & (rows["_t_k2"] == gone["_g_k2"])
