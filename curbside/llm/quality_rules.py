@@ -6,7 +6,8 @@ content lines hold at least ``MIN_SHARE`` of its word characters.
 
 The field is fitted by gradient ascent on the log-likelihood of labelled documents: all lines of a document of good
 quality count as content, all lines of a poor one as boilerplate. ``TRAIN_DOCS`` bounds the labelled documents used, an
-equal number of either quality, chosen by a hash of their id, and ``TRAIN_CHARS`` what is learned from each. Without labels of both kinds, ``PRIOR`` is used as it is.
+equal number of either quality, chosen by a hash of their id among those of ``TRAIN_CHARS`` characters at most; a chosen
+document is learned from whole. Without labels of both kinds, ``PRIOR`` is used as it is.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curbside.llm.common import map_arrow, texts
 
-TRAIN_DOCS, TRAIN_CHARS = 600, 1 << 16
+TRAIN_DOCS, TRAIN_CHARS = 600, 1 << 14
 MIN_SHARE = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
@@ -109,7 +110,6 @@ def fit(docs: list[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray]:
     for text, quality in docs:
         x, _ = steps_of((text or "").encode())
         if len(x):
-            x = x[:200]  # steps of a training document
             chains.append((x, np.full(len(x), 1 - int(quality))))
     weights, moves = PRIOR[0].copy(), PRIOR[1].copy()
     if len({int(y[0]) for _, y in chains}) < 2:
@@ -134,15 +134,17 @@ def fit(docs: list[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray]:
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[np.ndarray, np.ndarray]:
     """Fit on ``train_docs`` labelled documents at most, half of either quality.
 
-    The first ``TRAIN_CHARS`` characters of these, and no more, come to the driver.
+    These come to the driver, so none is longer than ``TRAIN_CHARS`` characters.
     """
     quality = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    short = docs.filter(F.char_length("text") <= TRAIN_CHARS).select("doc_id", "text")
+    quality = quality.join(short.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64("doc_id")
     chosen = None
     for q in (0, 1):
         part = quality.filter(F.col("quality") == q).orderBy(order, "doc_id").limit(train_docs // 2)
         chosen = part if chosen is None else chosen.unionAll(part)
-    rows = docs.select("doc_id", F.substring("text", 1, TRAIN_CHARS).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+    rows = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.min("quality").alias("quality")).orderBy("doc_id").collect()
     return fit([(r.text, r.quality) for r in rows])
 
