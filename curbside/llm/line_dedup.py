@@ -5,8 +5,8 @@
   unless asked for, since a passage must not stay because many documents share it.
 * Documents with the same sequence of lines count once here: all but the earliest are later documents of that one.
 * A document is aligned with the earliest holder of each of its rare lines, so a line makes as many pairs as it has
-  holders, not their square. Documents are ordered by doc_id (null last), then text key. A holder that many documents
-  are aligned with is dealt out with ``FAN`` of them at a time.
+  holders, not their square. Documents are ordered by doc_id (null last), then text key. The documents that are
+  aligned with the same holder are dealt into ``FAN`` parts, each of which gets a copy of it.
 * Patience diff aligns the two: lines that are unique in both, in their longest common order, then again between them.
   Maximal aligned blocks of ``min_block`` characters or more are deleted from the later document. Lines that are not
   rare go with a block like any other.
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from curbside.llm.common import discard, map_arrow, staged, text_key, text_of
 
 MIN_LINE, RARE, MIN_BLOCK = 20, None, 40
-FAN = 500  # documents aligned with one copy of an earlier document, about
+FAN = 64
 
 
 def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -106,15 +106,6 @@ def _sequences(docs: DataFrame) -> DataFrame:
     )
 
 
-def _dealt(near: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (o, first) with the part of ``first`` they go to, and one row for every part of a ``first``."""
-    parts = near.groupBy("first").agg(F.ceil(F.count("*") / F.lit(fan)).cast("int").alias("parts"))
-    split = near.join(parts.filter("parts > 1"), "first", "left")
-    part = F.coalesce(F.pmod(F.xxhash64("o"), F.col("parts")).cast("int"), F.lit(0)).alias("part")
-    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    return split.select("o", "first", part), parts.select("first", each)
-
-
 def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = RARE, min_block: int = MIN_BLOCK,
                   fan: int = FAN) -> tuple[DataFrame, str]:
     """Per document (doc_id, k1, k2) that loses any: ``removed``, positions of lines; and the table's path."""
@@ -133,9 +124,9 @@ def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None =
         holders = holders.filter(F.col("n") <= rare)
     # A written table, so that the join is of two plain shuffles and the rows of a very common line can be split.
     holders, holders_path = staged(holders, "line-holders")
-    near, near_path = staged(held.join(holders, "h").filter("o != first").select("o", "first").distinct(), "line-pairs")
-    near, parts = _dealt(near, fan)
-    earlier = parts.join(sequences.select(F.col("o").alias("first"), F.col("hs").alias("a")), "first")
+    near, near_path = staged(held.join(holders, "h").filter("o != first").select(
+        "o", "first", F.pmod(F.xxhash64("o"), F.lit(fan)).cast("int").alias("part")).distinct(), "line-pairs")
+    earlier = near.select("first", "part").distinct().join(sequences.select(F.col("o").alias("first"), F.col("hs").alias("a")), "first")
     pairs = near.join(sequences.select("o", F.col("hs").alias("b"), F.col("ls").alias("sizes")), "o").join(
         earlier, ["first", "part"])
 
