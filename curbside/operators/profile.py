@@ -16,10 +16,18 @@ _FOOTER = (
 )
 
 
+def arrow_uri(path: str) -> str:
+    """A Hadoop path as Arrow names it; credentials come from the executors' environment."""
+    scheme, _, rest = path.partition(":")
+    if scheme in ("s3a", "s3n"):
+        return "s3:" + rest
+    if scheme == "dbfs":
+        return "file:///dbfs/" + rest.lstrip("/")
+    return "file:///" + rest.lstrip("/") if scheme == "file" else path
+
+
 def _open_parquet(path: str) -> pyarrow.parquet.ParquetFile:
-    if path.startswith("file:/"):
-        path = "file:///" + path[len("file:"):].lstrip("/")
-    system, inner = pyarrow.fs.FileSystem.from_uri(path)
+    system, inner = pyarrow.fs.FileSystem.from_uri(arrow_uri(path))
     return pyarrow.parquet.ParquetFile(system.open_input_file(inner))
 
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from curbside.operators.clean import EXTRAS, RENAMES
-from curbside.plans.views import EXTRA_SOURCE
-from curbside.sources.feeds import FEED_SCHEMAS, FEEDS
+FEEDS = ("yellow", "green", "fhv", "fhvhv")
 
 TRIPS_RAW = """
 SELECT
@@ -281,22 +279,50 @@ def _fractions() -> str:
     return using("trips_raw", query=" UNION ALL ".join(parts))
 
 
-_SQL_TYPES = {"float": "FLOAT", "int": "INT", "tinyint": "INT", "string": "VARCHAR",
-              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+# The trip table's columns per feed: those every feed may have, and those kept from one feed.
+UNIVERSAL = {
+    "yellow": (
+        "pu_dt TIMESTAMP, do_dt TIMESTAMP, pu_locid INT, do_locid INT, passengers INT, distance FLOAT, fee_fare FLOAT, "
+        "fee_tip FLOAT, fee_total FLOAT, payment_type INT",
+        "x_airport_fee FLOAT, x_ratecodeid INT, x_vendorid INT, x_congestion_surcharge FLOAT, x_extra FLOAT, "
+        "x_improvement_surcharge FLOAT, x_mta_tax FLOAT, x_store_and_fwd_flag VARCHAR, x_tolls_amount FLOAT",
+    ),
+    "green": (
+        "pu_dt TIMESTAMP, do_dt TIMESTAMP, pu_locid INT, do_locid INT, passengers INT, distance FLOAT, fee_fare FLOAT, "
+        "fee_tip FLOAT, fee_total FLOAT, payment_type INT",
+        "x_ratecodeid INT, x_vendorid INT, x_congestion_surcharge FLOAT, x_ehail_fee FLOAT, x_extra FLOAT, "
+        "x_improvement_surcharge FLOAT, x_mta_tax FLOAT, x_store_and_fwd_flag VARCHAR, x_tolls_amount FLOAT, x_trip_type INT",
+    ),
+    "fhv": (
+        "pu_dt TIMESTAMP, do_dt TIMESTAMP, pu_locid INT, do_locid INT, dbasenum VARCHAR",
+        "x_affiliated_base_number VARCHAR, x_sr_flag BOOLEAN",
+    ),
+    "fhvhv": (
+        "pu_dt TIMESTAMP, do_dt TIMESTAMP, pu_locid INT, do_locid INT, distance FLOAT, fee_fare FLOAT, fee_tip FLOAT, "
+        "dbasenum VARCHAR, licensenum VARCHAR",
+        "x_access_a_ride_flag VARCHAR, x_airport_fee FLOAT, x_bcf FLOAT, x_congestion_surcharge FLOAT, x_driver_pay FLOAT, "
+        "x_on_scene_datetime TIMESTAMP, x_originating_base_num VARCHAR, x_request_datetime TIMESTAMP, x_sales_tax FLOAT, "
+        "x_shared_match_flag VARCHAR, x_shared_request_flag VARCHAR, x_tolls FLOAT, x_trip_time INT, x_wav_match_flag VARCHAR, "
+        "x_wav_request_flag VARCHAR",
+    ),
+}
+# What the fixture puts into a column of each type that trips do not have.
+FILLER = {
+    "FLOAT": "distance", "INT": "passengers", "VARCHAR": "CASE WHEN passengers % 2 = 0 THEN 'Y' ELSE 'N' END",
+    "TIMESTAMP": "pu_dt", "BOOLEAN": "passengers > 2",
+}
 
 
 def _universal() -> str:
-    filler = {kind.simpleString(): value for kind, value in EXTRA_SOURCE.items()}
     parts = []
-    for feed in FEEDS:
-        types = dict(column.split() for column in FEED_SCHEMAS[feed].split(","))
-        inner = [f"CAST({new} AS {_SQL_TYPES[types[old]]}) AS {new}" for old, new in RENAMES[feed].items()]
-        inner += [f"CAST({filler[types[c]]} AS {_SQL_TYPES[types[c]]}) AS x_{c}" for c in EXTRAS[feed]]
-        kinds = {new: types[old] for old, new in RENAMES[feed].items()} | {f"x_{c}": types[c] for c in EXTRAS[feed]}
+    for feed, (common, extra) in UNIVERSAL.items():
+        own, kept = ([tuple(c.split()) for c in text.split(", ")] for text in (common, extra))
+        inner = [f"CAST({name} AS {kind}) AS {name}" for name, kind in own]
+        inner += [f"CAST({FILLER[kind]} AS {kind}) AS {name}" for name, kind in kept]
         outer = []
-        for name, kind in kinds.items():
+        for name, kind in own + kept:
             value = CLEAN.get(name, name)
-            outer.append((f"CAST({value} AS DOUBLE)" if kind == "float" else value) + f" AS {name}")
+            outer.append((f"CAST({value} AS DOUBLE)" if kind == "FLOAT" else value) + f" AS {name}")
         parts.append(f"SELECT '{feed}' AS dataset, {', '.join(outer)} FROM (SELECT {', '.join(inner)} "
                      f"FROM trips_raw WHERE dataset = '{feed}')")
     return using("trips_raw", query=" UNION ALL BY NAME ".join(parts))
@@ -477,6 +503,14 @@ def oracle_sql() -> dict[str, str]:
         "join_thresholds": using("limits", query=(
             "SELECT label, fare, COUNT(*) AS n, MAX(fee_tip) AS max_tip FROM buckets JOIN limits USING (label, fare) "
             "WHERE fee_tip < tip_max GROUP BY 1, 2")),
+        "producer_messages": using("trips_raw", "zones", query=(
+            "SELECT concat(dataset, '_trips_1997') AS topic, COALESCE(CAST(pu_locid AS VARCHAR), dataset) AS key, COUNT(*) AS n, "
+            "MIN(epoch_us(pu_dt) // 1000) AS first_ms, MAX(epoch_us(pu_dt) // 1000) AS last_ms, COUNT(borough) AS boroughs, "
+            "MAX(CAST(CAST(fee_fare AS FLOAT) AS DOUBLE)) AS most FROM trips_raw LEFT JOIN zones ON locid = pu_locid "
+            "WHERE dataset IN ('yellow', 'fhvhv') AND YEAR(pu_dt) = 1997 GROUP BY 1, 2")),
+        "summary_messages": (
+            "SELECT CAST((SELECT MAX(epoch_us(ts) // 1000) FROM events) AS VARCHAR) AS key, CAST(COUNT(*) AS INT) AS k, "
+            f"ROUND(SUM(weight), 4) AS weight FROM ({_borough_centers()})"),
         "decode_messages": using("trip_events", query=(
             "SELECT pu_borough, COUNT(*) AS n, COUNT(fare_usd) FILTER (WHERE event_id % 6 < 2) AS fares, "
             "MAX(fare_usd) FILTER (WHERE event_id % 6 < 2) AS most, MIN(pu_dt) AS first "
@@ -486,13 +520,16 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM arcs WHERE pu_locid IN (SELECT locid FROM top) AND do_locid IN (SELECT locid FROM top)")),
         "colstats": using("stats", query=(
             "SELECT dataset, col, "
-            + ", ".join(f"CAST(CAST({s} AS FLOAT) AS DOUBLE) AS {s}" for s in [*stats, "frac_null"]) + " FROM stats")),
+            + ", ".join(f"CAST(CAST({s} AS FLOAT) AS DOUBLE) AS {s}" for s in ("mean", "std"))
+            + ", min, max, frac_null, " + ", ".join(f"ROUND({s}, 9) AS {s}" for s in ("q25", "q50", "q75", "iqr")) + " FROM stats")),
         "colstats_trip_time": using("stats", query=(
             "SELECT dataset, " + ", ".join(
                 f"TIMESTAMP '2000-01-01' + to_microseconds(CAST(ROUND(ROUND({s}, 3) * 1000000) AS BIGINT)) AS {s}" for s in stats)
             + " FROM stats WHERE col = 'trip_time'")),
         "agg_quantile": using("long", query=(
             "SELECT dataset, col, COUNT(value) AS n, TRUE AS within_bound FROM long GROUP BY 1, 2")),
+        "exact_quantile": using("long", query=(
+            "SELECT dataset, col, ROUND(quantile_cont(value, 0.95), 9) AS q95 FROM long GROUP BY 1, 2")),
         "quantile_sketches": using("long", query=(
             "SELECT dataset, COUNT(value) AS n, TRUE AS within_bound FROM long WHERE col = 'trip_time' GROUP BY 1")),
         "volume_month_feed": using("trips", query=(
@@ -574,9 +611,8 @@ def oracle_sql() -> dict[str, str]:
             f"LEFT JOIN ({_latest('pu_locid')}) USING (pu_locid)")),
         "rolling_windows": using("trip_events", query=(
             "SELECT s AS window_start, s + INTERVAL '6' HOUR AS window_end, pu_borough, COUNT(*) AS n, " + _moments() + " FROM ("
-            "SELECT *, date_trunc('hour', pu_dt) - INTERVAL '1' HOUR * unnest(range(0, 6)) AS s, "
-            f"(SELECT MAX(pu_dt) FROM trip_events) AS last FROM ({_FILLED})) "
-            "WHERE s + INTERVAL '6' HOUR <= last - INTERVAL '1' HOUR AND pu_borough IS NOT NULL GROUP BY 1, 2, 3")),
+            f"SELECT *, date_trunc('hour', pu_dt) - INTERVAL '1' HOUR * unnest(range(0, 6)) AS s FROM ({_FILLED})) "
+            "WHERE pu_borough IS NOT NULL GROUP BY 1, 2, 3")),
         "stream_features": _features(),
         "decayed_weight": using("trip_events", query=(
             f"SELECT pu_borough, COUNT(*) AS n, CAST(CAST({decayed} AS FLOAT) AS DOUBLE) AS weight FROM {aged} GROUP BY 1")),

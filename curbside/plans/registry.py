@@ -11,13 +11,14 @@ from curbside.functions.columns import epoch_millis
 from curbside.operators import anomaly, bases, clean, colstats, decay, evolution, money, profile
 from curbside.operators import quantiles, rolling, volume, zones as zone_ops
 from curbside.plans import views
-from curbside.session import scratch_path
-from curbside.sinks import formats
+from curbside.session import checkpointed, scratch_path
+from curbside.sinks import folder as folder_sink, formats
 from curbside.sinks.parquet import file_rows, repack
 from curbside.sources import feeds
 from curbside.sources.generations import read_conformed
 from curbside.streaming import clusters, events
 from curbside.streaming.frozen import ClusterTable
+from curbside.streaming.producer import produce
 from curbside.streaming.replay import replay, time_slices
 from curbside.streaming.rolling import RollingReport, sliding_stats
 
@@ -336,6 +337,7 @@ def join_semi_top_zones(spark, sf):
 # --- statistics --------------------------------------------------------------------------
 
 STATS = ["mean", "std", "min", "max", "frac_null", "q25", "q50", "q75", "iqr"]
+MOMENTS, QUARTILES = ["mean", "std"], ["q25", "q50", "q75", "iqr"]
 
 
 def _colstats(spark, sf) -> DataFrame:
@@ -343,7 +345,7 @@ def _colstats(spark, sf) -> DataFrame:
 
 
 def colstats_query(spark, sf):
-    return single(_colstats(spark, sf), *STATS)
+    return rounded(single(_colstats(spark, sf), *MOMENTS), *QUARTILES, places=9)
 
 
 def colstats_trip_time(spark, sf):
@@ -362,6 +364,13 @@ def agg_quantile(spark, sf):
     return error.select(*keys, "n", (F.col("rank_error") <= 0.001 + 1 / F.col("n")).alias("within_bound"))
 
 
+def exact_quantile(spark, sf):
+    """The quantile itself, interpolated between the two values it falls between."""
+    long = colstats.melt(clean.with_trip_time(views.trips(spark, sf)), "dataset", present=colstats.PRESENT)
+    found = quantiles.exact_quantiles(long, ["dataset", "col"], "value", [0.95])
+    return rounded(found.select("dataset", "col", F.col("quantiles")[0].alias("q95")), "q95", places=9)
+
+
 def quantile_sketches(spark, sf):
     """Stored monthly sketches merged per feed, and whether the median's rank is within two percent."""
     timed = clean.with_trip_time(views.trips(spark, sf)).withColumn("month", F.trunc("pu_dt", "month"))
@@ -544,11 +553,29 @@ def rolling_stats_latest(spark, sf):
     return _rolled(rolling.latest_stats(rows, "pu_borough", "pu_dt", SIX_HOURS))
 
 
-def _event_stream(spark, sf, start, slices: int = SLICES) -> None:
-    """Replay the events as JSON messages in time order, a micro-batch per slice."""
+def _event_stream(spark, sf, start, slices: int = SLICES, closed_after: str | None = None) -> None:
+    """Replay the events as JSON messages in time order, a micro-batch per slice.
+
+    With ``closed_after`` one event of no borough of the table follows that long after the last one.
+    """
     rows = views.trip_events(spark, sf)
-    parts = [events.encode_events(p) for p in time_slices(rows, "pu_dt", slices)]
-    replay(spark, parts, start)
+    parts = time_slices(rows, "pu_dt", slices)
+    if closed_after:
+        later = F.col("pu_dt") + F.expr(f"INTERVAL {closed_after}")
+        parts.append(rows.orderBy(F.desc("pu_dt")).limit(1).withColumns(
+            {"pu_dt": later, "pu_borough": F.lit("END OF REPLAY"), "fare_usd": F.lit(0.0)}))
+    replay(spark, [events.encode_events(p) for p in parts], start)
+
+
+def producer_messages(spark, sf):
+    """Both replayed feeds of one year through the producing job, into a folder per topic and back."""
+    out = scratch_path(spark, "topics")
+    raw = {name: views.raw_feed(spark, sf, name) for name in events.EVENT_SOURCES}
+    produce(raw, views.zones(spark, sf), 1997, lambda messages, topic: folder_sink.publish(messages, out, topic), parts=8)
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return spark.read.parquet(out).groupBy("topic", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_ms").alias("first_ms"), F.max("event_ms").alias("last_ms"),
+        F.count(field("pu_borough")).alias("boroughs"), F.max(field("fare_usd").cast("float")).cast("double").alias("most"))
 
 
 def decode_messages(spark, sf):
@@ -584,7 +611,7 @@ def rolling_stats_top_zones(spark, sf):
 
 
 def rolling_windows(spark, sf):
-    """Sliding windows closed by the watermark."""
+    """Sliding windows of all events; a last event a day later moves the watermark past them."""
     out = scratch_path(spark, "windows")
 
     def start(stream, progress):
@@ -592,7 +619,7 @@ def rolling_windows(spark, sf):
                                 watermark="1 hour")
         return windows.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
 
-    _event_stream(spark, sf, start)
+    _event_stream(spark, sf, start, closed_after="'1' DAY")
     return _rolled(spark.read.parquet(out))
 
 
@@ -657,6 +684,16 @@ def macro_clusters(spark, sf):
     return clusters.macro_clusters(_micro(spark, sf))
 
 
+def summary_messages(spark, sf):
+    """The summary of clusters far apart, published under its report's time and read again."""
+    out, micro = scratch_path(spark, "summaries"), checkpointed(_micro(spark, sf, APART, SPREAD))
+    clock = micro.agg(F.max("clock_ms")).first()[0] or 0
+    folder_sink.publish(clusters.summary_messages(clusters.macro_clusters(micro), clock), out, "summary")
+    parsed = F.from_json("value", "k int, clusters array<struct<id:int, weight:double, center:array<double>>>")
+    weight = F.aggregate("v.clusters", F.lit(0.0), lambda s, c: s + c.weight)
+    return spark.read.parquet(out).select("key", parsed.alias("v")).select("key", "v.k", F.round(weight, 4).alias("weight"))
+
+
 def macro_summary(spark, sf):
     return clusters.macro_summary(clusters.macro_clusters(_micro(spark, sf)))
 
@@ -702,6 +739,7 @@ def queries() -> dict[str, Query]:
         "colstats": colstats_query,
         "colstats_trip_time": colstats_trip_time,
         "agg_quantile": agg_quantile,
+        "exact_quantile": exact_quantile,
         "quantile_sketches": quantile_sketches,
         "volume_month_feed": volume_month_feed,
         "volume_month_label": volume_month_label,
@@ -733,6 +771,7 @@ def queries() -> dict[str, Query]:
         "operator_breakdown": operator_breakdown,
         "trip_events": trip_events,
         "trip_event_keys": trip_event_keys,
+        "producer_messages": producer_messages,
         "decode_messages": decode_messages,
         "rolling_stats_batch": _rolling_batch(15 * 60),
         "rolling_stats_batch_6h": _rolling_batch(SIX_HOURS),
@@ -747,5 +786,6 @@ def queries() -> dict[str, Query]:
         "micro_centers": micro_centers,
         "macro_clusters": macro_clusters,
         "macro_centers": macro_centers,
+        "summary_messages": summary_messages,
         "macro_summary": macro_summary,
     }
