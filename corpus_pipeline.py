@@ -31,7 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_common_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks of lines that an earlier document has go; a document of which no word is left goes whole."""
-    shorter = line_dedup.deduplicated(docs)
+    shorter = line_dedup.deduplicated(docs, every=True)
     left = shorter.filter(F.col("removed").isNull() | F.col("text").rlike(r"\S"))
     return recounted(left.select(*docs.columns))
 

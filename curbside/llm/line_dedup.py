@@ -19,6 +19,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,6 +27,8 @@ from curbside.llm.common import discard, map_arrow, staged, text_key, text_of
 
 MIN_LINE, RARE, MIN_BLOCK = 20, None, 40
 FAN = 64
+_STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse for 64-bit hashes of windows
+_ORDER = "o struct<z:boolean,id:bigint,k1:bigint,k2:int>"
 
 
 def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -88,6 +91,36 @@ def common_lines(a: list[int], b: list[int], sizes: list[int], min_block: int) -
     return out
 
 
+def windows(hs: np.ndarray, sizes: np.ndarray, ends: np.ndarray, min_block: int) -> tuple[np.ndarray, ...]:
+    """Hash, first line and line after the last of the shortest windows of ``min_block`` characters or more.
+
+    Lines of several documents in a row; ``ends`` has where each document ends. There is a window from each line on and
+    one up to each line, where the document has that many characters; equal ones count once.
+    """
+    at = np.arange(len(hs))
+    document = np.searchsorted(ends, at, "right")
+    starts = np.r_[0, ends][document]
+    total = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+    need = max(1, min_block)
+    until = np.searchsorted(total, total[:-1] + need)
+    since = np.searchsorted(total, total[1:] - need, "right") - 1
+    on = until <= ends[document]
+    up = since >= starts
+    up[up] = until[since[up]] != at[up] + 1
+    first, after = np.r_[at[on], since[up]], np.r_[until[on], at[up] + 1]
+    step = np.full(len(hs) + 1, _STEP, np.uint64)
+    back = np.full(len(hs) + 1, pow(_STEP, -1, 1 << 64), np.uint64)
+    step[0] = back[0] = 1
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(hs.astype(np.int64).view(np.uint64) * np.cumprod(step)[:-1], dtype=np.uint64)]
+    return ((sums[after] - sums[first]) * np.cumprod(back)[first]).view(np.int64), first, after
+
+
+def covered(first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Positions in any of the ranges, in order."""
+    change = np.bincount(first, minlength=after.max() + 1) - np.bincount(after, minlength=after.max() + 1)
+    return np.flatnonzero(np.cumsum(change))
+
+
 def _let(value: Column, body) -> Column:
     """body(value), with the value computed once per row."""
     return F.transform(F.array(value), body)[0]
@@ -106,8 +139,36 @@ def _sequences(docs: DataFrame) -> DataFrame:
     )
 
 
+def shared_runs(kinds: DataFrame, min_block: int) -> tuple[DataFrame, list[str]]:
+    """Per document: ``removed``, lines in a run that an earlier one holds; and the paths of tables it reads."""
+    # Numbers in document order; the staged table keeps them.
+    numbered, numbered_path = staged(kinds.orderBy("o").select(F.monotonically_increasing_id().alias("r"), "o", "hs", "ls"), "line-kinds")
+
+    def cut(batch: pa.RecordBatch) -> dict | None:
+        hs, ls = batch.column("hs"), batch.column("ls")
+        count = np.diff(hs.offsets.to_numpy())
+        ends = np.cumsum(count)
+        keys, first, after = windows(hs.flatten().to_numpy(), ls.flatten().to_numpy(), ends, min_block)
+        document = np.searchsorted(ends, first, "right")
+        before = (ends - count)[document]
+        return {"w": keys, "r": batch.column("r").to_numpy()[document], "i": first - before, "j": after - before}
+
+    cuts = map_arrow(numbered.select("r", "hs", "ls"), cut, "w long, r long, i int, j int")
+    known, known_path = staged(cuts.groupBy("w").agg(F.min("r").alias("first"), F.max("r").alias("last")).filter(
+        "first < last").select("w", "first"), "line-windows")
+    later, later_path = staged(cuts.join(known, "w").filter("r > first").select("r", "i", "j"), "line-runs")
+
+    def join(batch: pa.RecordBatch) -> dict:
+        columns = (batch.column(c).to_pylist() for c in "ij")
+        return {"r": batch.column("r"), "removed": [covered(np.array(i), np.array(j)) for i, j in zip(*columns, strict=True)]}
+
+    runs = map_arrow(later.groupBy("r").agg(F.collect_list(F.struct("i", "j")).alias("x")).select(
+        "r", F.col("x.i").alias("i"), F.col("x.j").alias("j")), join, "r long, removed array<int>")
+    return runs.join(numbered.select("r", "o"), "r").select("o", "removed"), [numbered_path, known_path, later_path]
+
+
 def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = RARE, min_block: int = MIN_BLOCK,
-                  fan: int = FAN) -> tuple[DataFrame, str]:
+                  fan: int = FAN, every: bool = False) -> tuple[DataFrame, str]:
     """Per document (doc_id, k1, k2) that loses any: ``removed``, positions of lines; and the table's path."""
     sequences, sequences_path = staged(_sequences(docs), "lines")
     same = [F.xxhash64("hs").alias("s1"), F.hash("hs").alias("s2"), F.size("hs").alias("s3")]
@@ -135,15 +196,21 @@ def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None =
         return {"o": batch.column("o"), "removed": [
             common_lines(x, y, s, min_block) for x, y, s in zip(a, b, sizes, strict=True)]}
 
-    order = "o struct<z:boolean,id:bigint,k1:bigint,k2:int>"
-    found = map_arrow(pairs.select("o", "a", "b", "sizes"), align, f"{order}, removed array<int>").filter("size(removed) > 0")
+    found = map_arrow(pairs.select("o", "a", "b", "sizes"), align, f"{_ORDER}, removed array<int>").filter("size(removed) > 0")
+    paths = [sequences_path, copies_path, holders_path, near_path]
+    if every:
+        found, found_path = staged(found, "line-blocks")
+        discard(docs.sparkSession, holders_path, near_path)
+        runs, more = shared_runs(kinds, min_block)
+        found = found.unionByName(runs)
+        paths += [found_path, *more]
     whole = sequences.join(copies, "o", "left_semi").filter(
         F.aggregate("ls", F.lit(0).cast("long"), lambda s, x: s + x) >= min_block
     ).select("o", F.sequence(F.lit(0), F.size("hs") - 1).alias("removed"))
     gone = found.unionByName(whole).groupBy("o").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"))
     result, path = staged(gone.select(
         F.when(~F.col("o.z"), F.col("o.id")).alias("doc_id"), "o.k1", "o.k2", "removed"), "removed-lines")
-    discard(docs.sparkSession, sequences_path, copies_path, holders_path, near_path)
+    discard(docs.sparkSession, *paths)
     return result, path
 
 
@@ -156,12 +223,12 @@ def _left(text: Column, removed: Column) -> Column:
 
 
 def deduplicated(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = RARE, min_block: int = MIN_BLOCK,
-                 fan: int = FAN) -> DataFrame:
+                 fan: int = FAN, every: bool = False) -> DataFrame:
     """The documents with shortened ``text`` and ``removed``, positions of deleted lines (null: none).
 
-    All rows and columns stay but a column ``removed``, which is replaced.
+    Without ``every`` this is the alignment with the earliest holders alone. All rows and columns stay but a column ``removed``, which is replaced.
     """
-    gone, _ = removed_lines(docs, min_line, rare, min_block, fan)
+    gone, _ = removed_lines(docs, min_line, rare, min_block, fan, every)
     gone = gone.select(*[F.col(c).alias(f"_g_{c}") for c in gone.columns])
     rows = docs.drop("removed").select("*", *text_key(prefix="_t_"))
     same = (rows.doc_id.eqNullSafe(gone["_g_doc_id"])) & (rows["_t_k1"] == gone["_g_k1"]) & (rows["_t_k2"] == gone["_g_k2"])
@@ -174,7 +241,7 @@ def deduplicated(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = R
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, lines before, lines deleted, characters and hash of what is left."""
     lines = F.size(F.split(text_of(), "\n", -1))
-    shorter = deduplicated(docs.select("doc_id", "text", lines.alias("n_lines")))
+    shorter = deduplicated(docs.select("doc_id", "text", lines.alias("n_lines")), every=True)
     return shorter.select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
         F.char_length(text_of()).alias("kept_chars"), F.sha2(text_of().cast("binary"), 256).alias("kept_sha256"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from curbside.llm import line_dedup as ld
@@ -106,3 +107,58 @@ def test_alignment_against_textbook():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ld.digests(docs).count() == 0
+
+
+def plain_runs(rows, min_block):
+    """Lines of each distinct text that lie in a run of min_block characters which any earlier one holds."""
+    kinds = {}
+    for d in sorted({(d is None, d or 0, t or "") for d, t in rows}):
+        kinds.setdefault(tuple(d[2].split("\n")), d)
+    gone = {}
+    for b in kinds:
+        gone[b] = set()
+        for a in kinds:
+            for i in range(len(a)) if kinds[a] < kinds[b] else ():
+                for j in range(len(b)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                        n += 1
+                    if sum(map(len, b[j : j + n])) >= min_block:
+                        gone[b] |= set(range(j, j + n))
+    return {"\n".join(k): sorted(x) for k, x in gone.items()}, {"\n".join(k): d for k, d in kinds.items()}
+
+
+def removed_by(spark, rows, **how):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {(r.doc_id, r.text): r.removed for r in docs.join(ld.deduplicated(docs, every=True, **how).select(
+        "doc_id", "removed"), "doc_id").collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 5])
+def test_every_earlier_holder(spark, seed):
+    rows = [(d if d is not None else 999, t) for d, t in corpus(seed)]
+    rows = list({d: (d, t) for d, t in rows}.values())
+    gone, first = plain_runs(rows, 12)
+    got = removed_by(spark, rows, min_line=8, min_block=12, fan=4)
+    assert len(got) == len(rows)
+    for (d, t), removed in got.items():
+        text = t or ""
+        if first[text][1] != d:
+            want = list(range(text.count("\n") + 1)) if len(text.replace("\n", "")) >= 12 else []
+        else:
+            want = gone[text]
+        assert sorted(removed or []) == want, (d, t)
+
+
+def test_block_of_a_later_but_still_earlier_document(spark):
+    x, y, z = (f"{c * 30} a line that several documents hold" for c in "xyz")
+    rows = [(1, f"{x}\n{y}\nown line of the first document"), (2, f"other\n{y}\n{x}\n{z}"), (3, f"more\n{y}\n{x}\nlast")]
+    assert removed_by(spark, rows)[3, rows[2][1]] == [1, 2]
+
+
+def test_windows_of_several_documents():
+    sizes, hs = [40, 0, 5, 0, 39, 1, 3, 40], np.array([7, -1, 5, -1, 39, 1, 3, 7])
+    keys, first, after = ld.windows(hs, np.array(sizes), np.array([3, 3, 8]), 40)
+    got = sorted(zip(first.tolist(), after.tolist(), strict=True))
+    assert len(set(keys.tolist())) == len(got) - 1  # lines 0 and 7 are equal
+    assert got == [(0, 1), (0, 2), (0, 3), (3, 6), (4, 6), (4, 7), (5, 8), (6, 8), (7, 8)]
