@@ -162,3 +162,16 @@ def test_windows_of_several_documents():
     got = sorted(zip(first.tolist(), after.tolist(), strict=True))
     assert len(set(keys.tolist())) == len(got) - 1  # lines 0 and 7 are equal
     assert got == [(0, 1), (0, 2), (0, 3), (3, 6), (4, 6), (4, 7), (5, 8), (6, 8), (7, 8)]
+
+
+def passage(rng):
+    return "\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(16)) for _ in range(6))
+
+
+def test_passage_that_one_of_two_documents_repeats(spark):
+    p = passage(random.Random(9))
+    assert ld.aligned([1, 2, 3, 2, 4], [5, 2, 6]) == []
+    once, twice = f"head2\n{p}\ntail2", f"head\n{p}\nmiddle\n{p}\ntail"
+    assert sorted(removed_by(spark, [(1, twice), (2, once), (3, f"x{once}")])[2, once]) == list(range(1, 7))
+    got = removed_by(spark, [(1, once), (2, twice)])
+    assert got[1, once] is None and sorted(got[2, twice]) == [*range(1, 7), *range(8, 14)]
