@@ -175,3 +175,11 @@ def test_passage_that_one_of_two_documents_repeats(spark):
     assert sorted(removed_by(spark, [(1, twice), (2, once), (3, f"x{once}")])[2, once]) == list(range(1, 7))
     got = removed_by(spark, [(1, once), (2, twice)])
     assert got[1, once] is None and sorted(got[2, twice]) == [*range(1, 7), *range(8, 14)]
+
+
+def test_passage_of_short_lines_only(spark):
+    lines = "\n".join(f"item {i} of it" for i in range(60))
+    rows = [(1, f"first\n{lines}\nend of one"), (2, f"second\n{lines}\nend of two"), (3, "item 7 of it\nitem 9 of it")]
+    got = removed_by(spark, rows)
+    assert got[1, rows[0][1]] is None and got[3, rows[2][1]] is None
+    assert sorted(got[2, rows[1][1]]) == list(range(1, 61))
