@@ -14,7 +14,7 @@ from curbside.llm import language_id, line_dedup, packing, secret_scan, simhash
 from curbside.llm.common import staged
 from curbside.llm.queries import RANKS, TOKENIZER
 
-MIN_SCORE = 0.1  # a document that is farther from every language's profile is no text in a learned language
+MIN_SCORE = 0.3  # in the gap that README.md gives; a document that is farther from every language's profile is no text in a learned language
 
 
 def recounted(docs: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import base64
 import random
 
 import public_tokenizers
@@ -83,6 +84,23 @@ def test_run_packs_what_stays(spark, folder):
     assert got == want and max(ends.values()) <= 2048
 
 
+def test_language_stage_rejects_noise_and_unlearned_languages(spark):
+    rng = random.Random(7)
+    noise = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 10))) for _ in range(400))
+    dump = base64.b64encode(rng.randbytes(2000)).decode()
+    polish = ("wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem "
+              "i powinni postępować wobec innych w duchu braterstwa")
+    finnish = ("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto "
+               "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä")
+    planted = [(-1 - i, t, None, "planted", len(t)) for i, t in enumerate((noise, dump, polish, finnish))]
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*[f.split()[0] for f in SCHEMA.split(", ")])
+    docs = clean.unionByName(spark.createDataFrame(planted, SCHEMA))
+    letters = clean.filter(r"text rlike '\\p{L}'").select("doc_id")
+    kept = cp.identify_language(spark, docs, "").select("doc_id")
+    assert kept.filter("doc_id < 0").count() == 0
+    assert letters.subtract(kept).count() == 0 and letters.count() >= 990
+
+
 def test_empty_table_and_extra_columns(spark, tmp_path):
     empty = spark.createDataFrame([], SCHEMA)
     empty.write.parquet(f"{tmp_path}/documents.parquet")
