@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from curbside.session import scratch_path
@@ -32,6 +32,23 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> t
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, int]:
+    """The table with each row's ``position`` in the given order, from 0, and its number of rows.
+
+    The rows are written sorted over all tasks; a position is the row's place in its file plus the rows of the files
+    before it. No task sees more than its range of rows, or one row a file.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.orderBy(*order).write.option("maxRecordsPerFile", 0).parquet(path)
+    own = spark.read.schema(df.schema).parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    sizes = own.groupBy("_file").agg(F.count("*").alias("_rows"))
+    bases = sizes.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"))
+    joined = own.join(F.broadcast(bases), "_file").withColumn("position", F.col("_base") + F.col("_at"))
+    return joined.select(*df.columns, "position"), sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Remove staged tables that are no longer read, and let Spark drop the shuffle files nothing refers to."""
     for path in paths:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from curbside.llm import (
-    language_id, line_dedup, packing, pieces, quality_rules, secret_scan, simhash, suffix_dedup, topk, warc,
+    centroids, fingerprints, language_id, line_dedup, packing, pieces, quality_rules, resampling, secret_scan, simhash,
+    suffix_dedup, topk, warc,
 )
 
 #: Places of the public vocabularies.
@@ -59,11 +60,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digests(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op2_line_dedup, op3_sentencepiece, op4_secret_scan, op5_exact_topk, op6_language_id, op7_simhash,
-        op8_packing, op9_warc, op10_quality_rules)}
+        op8_packing, op9_warc, op10_quality_rules, op11_resampling, op12_fingerprints, op13_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secret_scan": secret_scan.oracle_sql(), "op5_exact_topk": topk.oracle_sql()}
+    return {
+        "op4_secret_scan": secret_scan.oracle_sql(), "op5_exact_topk": topk.oracle_sql(),
+        "op11_resampling": resampling.oracle_sql(), "op13_centroids": centroids.oracle_sql()}
