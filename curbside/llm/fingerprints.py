@@ -116,8 +116,8 @@ def fingerprinted(docs: DataFrame, shingle: int = SHINGLE, bins: int = BINS, bit
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id and text, with the key of a document: id (0 where null), whether it is null, two hashes of the text."""
-    return docs.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
+    """The text with the key of its document: id (0 where null), whether it is null, two hashes of the text."""
+    return docs.select(F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
                        *text_key(), text_of().alias("text"))
 
 
@@ -136,16 +136,16 @@ def compared(docs: DataFrame, shingle: int = SHINGLE, bins: int = BINS, bits: in
     pairs, _ = staged(places.join(following, F.col("position") == F.col("next_at")).drop("position", "next_at"), "fingerprints-pairs")
     discard(docs.sparkSession, path)
 
+    # Both joins on the texts' keys read the same columns, so the texts are shuffled once.
     # Asked of the next document: as many code points as the own text gives up, for every document that it follows.
     asked = pairs.select(*[F.col(f"next_{c}").alias(c) for c in _KEY], F.struct(*_KEY).alias("by"),
                          F.floor(F.col("n_chars") / 4).cast("int").alias("n"))
-    texts = keyed.select(*_KEY, "doc_id", "text")
-    heads = texts.join(asked, _KEY).select("by.*", F.substring(F.col("text"), F.lit(1), F.col("n")).alias("head")).groupBy(
+    heads = keyed.join(asked, _KEY).select("by.*", F.substring(F.col("text"), F.lit(1), F.col("n")).alias("head")).groupBy(
         *_KEY).agg(F.first("head").alias("head"))  # copies of a row send the same head
     given = pairs.select(*_KEY, "n_chars", "fingerprint", F.col("next_fingerprint"))
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
-    edited = texts.join(given, _KEY).join(heads, _KEY).select(
-        "doc_id", "n_chars", "fingerprint", "next_fingerprint", F.concat(kept, F.col("head")).alias("edited"))
+    edited = keyed.join(given, _KEY).join(heads, _KEY).select(
+        F.when(~F.col("_none"), F.col("_id")).alias("doc_id"), "n_chars", "fingerprint", "next_fingerprint", F.concat(kept, F.col("head")).alias("edited"))
     return edited.select(
         "doc_id", "n_chars", "fingerprint", "next_fingerprint", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         packed(F.col("edited"), shingle, bins, bits).alias("edited_fingerprint"))
