@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from curbside.operators.quantiles import approx_quantile, describe, quantile_brackets, rank_summary
+from curbside.operators.quantiles import approx_quantile, bracket_cuts, describe, rank_summary
+from curbside.session import checkpointed
 
 # Profiled columns, and those each feed has.
 COLUMNS = ("passengers", "distance", "trip_time", "fee_fare", "fee_tip", "fee_total")
@@ -40,15 +41,23 @@ def _with_quartiles(stats: DataFrame, label: str) -> DataFrame:
     )
 
 
+def _column_brackets(df: DataFrame, label: str, columns: Sequence[str], accuracy: int) -> DataFrame:
+    """Brackets of the quartiles per (label, column) of a wide table; NaN is null."""
+    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    cuts = df.groupBy(label).agg(*[F.percentile_approx(value(c), bracket_cuts(QUARTILES, accuracy), accuracy).alias(c) for c in columns])
+    return checkpointed(cuts.unpivot([label], list(columns), "col", "_cuts"))
+
+
 def colstats(df: DataFrame, label: str = "dataset", columns: Sequence[str] = COLUMNS,
              present: Mapping[str, Sequence[str]] | None = PRESENT, accuracy: int = 1000) -> DataFrame:
     """Mean, sample deviation, range, null share and exact quartiles per (feed, column).
 
-    Two passes: a sketch brackets the quartiles, then one compact rank summary gives everything.
+    Two passes: a sketch brackets the quartiles, then one compact rank summary gives everything. The sketches of
+    all columns come from one aggregate over rows as wide as they are; its few rows are melted afterwards.
     """
     keys = [label, "col"]
     long = melt(df, label, columns, present)
-    brackets = quantile_brackets(long, keys, "value", QUARTILES, accuracy)
+    brackets = _column_brackets(df, label, [c for c in columns if c in df.columns], accuracy)
     stats = describe(rank_summary(long, keys, "value", brackets, len(QUARTILES)), keys, QUARTILES)
     share = 1 - F.col("n") / (F.col("n") + F.col("nulls"))
     return _with_quartiles(stats.withColumn("frac_null", share), label)

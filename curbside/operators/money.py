@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curbside.functions.columns import map_values, right_closed_bin, seconds_between
-from curbside.operators.quantiles import quantile_brackets, rank_summary, with_quantile
+from curbside.operators.quantiles import describe, quantile_brackets, rank_summary
+from curbside.session import checkpointed, small_side
 
 # Payment type names; rows without a type count as 5.
 PAYMENT_NAMES = {
@@ -94,8 +95,9 @@ def fare_tip_curve(trips: DataFrame, label: str = "label", quantile: float = 0.9
     buckets = fare_buckets(trips, label)
     brackets = quantile_brackets(buckets, keys, "fee_tip", [quantile], accuracy)
     summary = rank_summary(buckets, keys, "fee_tip", brackets, 1)
+    limits = describe(summary, keys, [quantile]).select(*keys, F.col("quantiles")[0].alias("tip_max"))
     return (
-        with_quantile(summary, keys, quantile, "tip_max")
+        summary.join(small_side(checkpointed(limits)), keys)
         .filter(F.col("hi") < F.col("tip_max"))
         .groupBy(*keys)
         .agg((F.sum("total") / F.sum("n")).alias("tip"), F.sum("n").alias("n"))

@@ -30,6 +30,19 @@ def test_exact_quantiles_equal_numpy(spark, accuracy):
     assert got["nulls"] is None
 
 
+def test_narrowing_passes_equal_numpy(spark, capsys):
+    """A bound far below what a bracket holds makes several passes, with nothing ordered beyond it."""
+    rng = np.random.default_rng(4)
+    shapes_ = {"even": rng.random(30_000), "heavy": np.where(rng.random(30_000) < 0.4, 0.5, rng.random(30_000)), "few": rng.integers(0, 5, 5000) * 1.0}
+    rows = spark.createDataFrame([(g, float(v)) for g, vs in shapes_.items() for v in vs], "g string, v double").repartition(6)
+    wanted = [0.1, 0.5, 0.55, 0.99]
+    found = q.exact_quantiles(rows, ["g"], "v", wanted, accuracy=20, bound=26)
+    for r in found.collect():
+        assert r.quantiles == pytest.approx(list(np.quantile(shapes_[r.g], wanted)), rel=1e-12), r.g
+    found.explain("formatted")
+    assert "Window" not in capsys.readouterr().out
+
+
 def test_summary_is_small(spark):
     rows = table(spark).filter("g = 'sorted'")
     brackets = q.quantile_brackets(rows, ["g"], "v", [0.5], 1000)
@@ -54,6 +67,7 @@ def test_describe_moments(spark):
 def test_wrong_bracket_fails_instead_of_guessing(spark):
     rows = spark.range(1000).select(F.lit("a").alias("g"), F.col("id").cast("double").alias("v"))
     wrong = spark.createDataFrame([("a", [10.0, 20.0])], "g string, _cuts array<double>")
+    # The median of 1,000 is far above the bracket.
     with pytest.raises(Exception, match="outside its bracket"):
         q.describe(q.rank_summary(rows, ["g"], "v", wrong, 1), ["g"], [0.5]).collect()
 
