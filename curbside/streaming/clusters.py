@@ -92,6 +92,42 @@ class MicroClusters:
         if len(self.weight) > self.max_micro:
             self._keep(np.arange(len(self.weight)) != self.weight.argmin())
 
+    def take_near(self, centers: np.ndarray, points: np.ndarray, weight: np.ndarray, ls: np.ndarray, ss: np.ndarray) -> np.ndarray:
+        """Points within ``tau`` of the nearest of ``centers`` go to the cluster of that number; the others are returned."""
+        gaps = points[:, None, :] - centers[None, :, :]
+        squared = np.einsum("ijk,ijk->ij", gaps, gaps)
+        nearest = squared.argmin(axis=1)
+        near = squared[np.arange(len(points)), nearest] <= self.tau * self.tau
+        np.add.at(self.weight, nearest[near], weight[near])
+        np.add.at(self.ls, nearest[near], ls[near])
+        np.add.at(self.ss, nearest[near], ss[near])
+        return np.flatnonzero(~near)
+
+    def join_block(self, weight: np.ndarray, ls: np.ndarray, ss: np.ndarray) -> None:
+        """Points or clusters at once: each goes to the nearest cluster as it was before the block.
+
+        Those near none are led by the first of them, which takes all that are near it, until none is left. A center
+        moves at most by the share of its new weight that the block brought, times ``tau``, and never beyond the
+        block unseen: equal to ``join`` one by one where clusters lie farther apart than that.
+        """
+        points, limit = ls / weight[:, None], self.tau * self.tau
+        left = np.arange(len(weight))
+        if len(self.weight) and len(left):
+            left = self.take_near(self.ls / self.weight[:, None], points, weight, ls, ss)
+        while len(left):
+            gaps = points[left] - points[left[0]]
+            near = np.einsum("ij,ij->i", gaps, gaps) <= limit
+            mine = left[near]
+            row = (weight[mine].sum(), ls[mine].sum(axis=0), ss[mine].sum(axis=0))
+            if len(self.weight):
+                self.weight = np.append(self.weight, row[0])
+                self.ls, self.ss = np.vstack([self.ls, row[1]]), np.vstack([self.ss, row[2]])
+            else:
+                self.weight, self.ls, self.ss = np.array([row[0]]), row[1][None, :], row[2][None, :]
+            if len(self.weight) > self.max_micro:
+                self._keep(np.arange(len(self.weight)) != self.weight.argmin())
+            left = left[~near]
+
     def add(self, x: np.ndarray, now_ms: int) -> None:
         self.advance(now_ms)
         self.join(1.0, x, x * x)

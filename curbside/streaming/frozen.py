@@ -1,9 +1,12 @@
 """Micro-clusters of a stream without shards, however many events a micro-batch has.
 
 A micro-batch meets the clusters as the last one left them. Events within ``tau`` of a center are summed up by plain
-aggregates. The others go through the sequential step where they lie: a partition leaves at most ``max_micro`` clusters,
-and these merge ``FAN_IN`` partitions at a time. So a task's work is a partition of the input, or ``FAN_IN * max_micro``
-clusters. Within a micro-batch centers do not drift, which the purely sequential algorithm lets them do.
+partitions, a row per center and task. The others become clusters where they lie, a block of events at a time: one matrix
+of distances to the open clusters, and only events that are near none go on, to be led by the first of them. A partition leaves at most
+``max_micro`` clusters, and these merge ``FAN_IN`` partitions at a time. So a task's work is a partition of the input, or
+``FAN_IN * max_micro`` clusters. Within a micro-batch, or a block, centers do not drift, which the purely sequential
+algorithm lets them do; what is near a center then was within ``tau`` of where the center stood before, so a center is off
+by less than ``tau`` times the share of its weight that the block brought.
 """
 
 from __future__ import annotations
@@ -13,19 +16,22 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from curbside.functions.columns import epoch_millis
 from curbside.operators.decay import decay_factor
 from curbside.session import remove, scratch_path
-from curbside.streaming.clusters import HALF_LIFE_MINUTES, MAX_MICRO, TAU, MicroClusters, nearest_center
+from curbside.streaming.clusters import HALF_LIFE_MINUTES, MAX_MICRO, TAU, MicroClusters
 
 FAN_IN = 16
+# Events that meet the clusters at once.
+BLOCK = 1024
 # Less weight than this cannot be divided by; a trillion such events together are far from a cluster that is kept.
 VANISHED = 1e-200
 
 _STATE = "clock_ms bigint, dropped double, weight array<double>, ls array<array<double>>, ss array<array<double>>"
+_COLUMNS = ["part", "dropped", "weight", "ls", "ss"]
 _PART = "part int, dropped double, weight double, ls array<double>, ss array<double>"
 
 
@@ -38,18 +44,34 @@ def _rows(clusters: MicroClusters, part: int) -> pd.DataFrame:
     })
 
 
-def _join_all(clusters: MicroClusters, rows: pd.DataFrame) -> None:
-    for weight, ls, ss in zip(rows["weight"], rows["ls"], rows["ss"]):
-        clusters.join(float(weight), np.array(ls, dtype=float), np.array(ss, dtype=float))
+def _join_all(clusters: MicroClusters, rows: pd.DataFrame, block: int = BLOCK) -> None:
+    """All rows, ``block`` at a time; the number of clusters bounds the matrix of distances."""
+    weight = rows["weight"].to_numpy(float)
+    for at in range(0, len(rows), block):
+        part = slice(at, at + block)
+        ls, ss = (np.array(rows[c].iloc[part].tolist(), dtype=float) for c in ("ls", "ss"))
+        clusters.join_block(weight[part], ls, ss)
 
 
-def _sequential(tau: float, max_micro: int) -> Callable:
+def _placed(tau: float, max_micro: int, centers: np.ndarray) -> Callable:
+    """Sums of the events near each of the given ``centers`` (at most ``max_micro``), and clusters of the others."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        clusters = MicroClusters(tau, max_micro)
+        near = MicroClusters(tau, len(centers), weight=np.zeros(len(centers)), ls=np.zeros_like(centers), ss=np.zeros_like(centers))
+        far = MicroClusters(tau, max_micro)
         for rows in batches:
-            _join_all(clusters, rows)
-        if len(clusters.weight):
-            yield _rows(clusters, TaskContext.get().partitionId())
+            for at in range(0, len(rows), BLOCK):
+                x = np.array(rows["features"].iloc[at : at + BLOCK].tolist(), dtype=float)
+                w = rows["weight"].to_numpy(float)[at : at + BLOCK]
+                ls = x * w[:, None]
+                left = near.take_near(centers, x, w, ls, ls * x) if len(centers) else np.arange(len(w))
+                if len(left):
+                    far.join_block(w[left], ls[left], ls[left] * x[left])
+        part = TaskContext.get().partitionId()
+        if len(centers):
+            yield _rows(near, part).assign(id=np.arange(len(centers), dtype=np.int32))[[*_COLUMNS, "id"]].query("weight > 0")
+        if len(far.weight):
+            yield _rows(far, part).assign(id=pd.array([None] * len(far.weight), "Int32"))[[*_COLUMNS, "id"]]
 
     return run
 
@@ -97,15 +119,9 @@ class ClusterTable:
     def update(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         clusters = self.load(spark, number - 1)
-        centers = (clusters.ls / clusters.weight[:, None]).tolist() if len(clusters.weight) else []
+        centers = clusters.ls / clusters.weight[:, None] if len(clusters.weight) else np.zeros((0, 0))
         placed_path = scratch_path(spark, "placed")
         rows = batch.select("features", epoch_millis(F.col(self.ts)).alias("event_ms")).filter("event_ms IS NOT NULL")
-        if centers:
-            best = nearest_center(F.col("features"), centers)
-            rows = rows.withColumn("_best", best).withColumn(
-                "id", F.when(F.col("_best.d2") <= self.tau * self.tau, F.col("_best.id"))).drop("_best")
-        else:
-            rows = rows.withColumn("id", F.lit(None).cast("int"))
         rows.write.parquet(placed_path)
         placed = spark.read.schema(rows.schema).parquet(placed_path)
         newest = placed.agg(F.max("event_ms")).first()[0]
@@ -114,10 +130,13 @@ class ClusterTable:
             # A late event joins at full weight as of the clock it met.
             age = F.lit(max(newest, before)) - F.greatest("event_ms", F.lit(before))
             aged = placed.withColumn("weight", decay_factor(age, self.half_life_minutes))
-            sums = self._summed(aged, len(centers[0])).collect() if centers else []
-            reduced, leftovers_path = self._reduced(aged.filter(F.col("id").isNull() & (F.col("weight") > VANISHED)))
-            new = reduced.toPandas()
-            remove(spark, leftovers_path)
+            found_path = scratch_path(spark, "found")
+            aged.filter(F.col("weight") > VANISHED).mapInPandas(
+                _placed(self.tau, self.max_micro, centers), f"{_PART}, id int").write.parquet(found_path)
+            found = spark.read.schema(f"{_PART}, id int").parquet(found_path)
+            sums = self._summed(found, centers.shape[1]).collect() if len(centers) else []
+            new = self._reduced(found.filter("id IS NULL").drop("id")).toPandas()
+            remove(spark, found_path)
             clusters.advance_all(int(newest))
             for row in sums:
                 clusters.weight[row.id] += row.weight
@@ -132,28 +151,19 @@ class ClusterTable:
         remove(spark, placed_path)
 
     @staticmethod
-    def _summed(aged: DataFrame, dims: int) -> DataFrame:
+    def _summed(found: DataFrame, dims: int) -> DataFrame:
         """(id, weight, ls, ss) of the events near each center: at most ``max_micro`` rows."""
-        x, w = F.col("features"), F.col("weight")
-        return aged.filter("id IS NOT NULL").groupBy("id").agg(
-            F.sum("weight").alias("weight"), F.array(*[F.sum(w * x[i]) for i in range(dims)]).alias("ls"),
-            F.array(*[F.sum(w * x[i] * x[i]) for i in range(dims)]).alias("ss"))
-
-    def _reduced(self, left: DataFrame) -> tuple[DataFrame, str]:
-        """Clusters of the events far from all centers, from at most ``FAN_IN`` partitions; and the staged table below them."""
-        w: Column = F.col("weight")
-        points = left.select("weight", F.transform("features", lambda v: v * w).alias("ls"),
-                             F.transform("features", lambda v: v * v * w).alias("ss"))
-        spark = left.sparkSession
-        path = scratch_path(spark, "leftovers")
-        points.mapInPandas(_sequential(self.tau, self.max_micro), _PART).write.parquet(path)
-        found = spark.read.schema(_PART).parquet(path)
+        total = lambda c: F.array(*[F.sum(F.col(c)[i]) for i in range(dims)]).alias(c)
+        return found.filter("id IS NOT NULL").groupBy("id").agg(F.sum("weight").alias("weight"), total("ls"), total("ss"))
+
+    def _reduced(self, found: DataFrame) -> DataFrame:
+        """Clusters of the events far from all centers, from at most ``FAN_IN`` partitions."""
         parts = (found.agg(F.max("part")).first()[0] or 0) + 1
         while parts > FAN_IN:
             merged = found.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("part").applyInPandas(
                 _merge(self.tau, self.max_micro), _PART)
             found, parts = merged, -(-parts // FAN_IN)
-        return found, path
+        return found
 
     def clusters(self, spark: SparkSession, number: int | None = None) -> DataFrame:
         """(cluster, clock_ms, weight, dropped, centroid, radius, ls, ss) after a micro-batch, the newest by default."""

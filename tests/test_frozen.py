@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbside.session import scratch_path
+from curbside.streaming.clusters import MicroClusters
 from curbside.streaming.frozen import ClusterTable
 
 HOUR_MS = 3_600_000
@@ -77,3 +78,41 @@ def test_empty_batches_late_events_and_missing_times(spark):
     assert row.weight == pytest.approx(20.0)
     table.update(rows.limit(0), 3)
     assert table.clusters(spark).first().weight == pytest.approx(20.0)
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1000])
+def test_blocks_equal_the_sequential_form_on_separated_points(block):
+    rng = np.random.default_rng(block)
+    centers = np.arange(12)[:, None] * np.array([20.0, -15.0, 5.0])
+    x = centers[rng.integers(0, 12, 800)] + rng.uniform(-0.5, 0.5, (800, 3))
+    w = rng.uniform(0.1, 3.0, 800)
+    one, many = MicroClusters(3.0, 50), MicroClusters(3.0, 50)
+    for p, v in zip(x, w):
+        one.join(float(v), p * v, p * p * v)
+    for at in range(0, 800, block):
+        part = slice(at, at + block)
+        many.join_block(w[part], x[part] * w[part, None], x[part] ** 2 * w[part, None])
+    order = lambda c: np.argsort((c.ls / c.weight[:, None])[:, 0])
+    for name in ("weight", "ls", "ss"):
+        assert np.allclose(getattr(one, name)[order(one)], getattr(many, name)[order(many)])
+
+
+def test_blocks_keep_all_weight_when_events_have_nothing_in_common():
+    rng = np.random.default_rng(1)
+    x = rng.uniform(-1e6, 1e6, (3000, 4))
+    clusters = MicroClusters(2.5, 200)
+    for at in range(0, 3000, 1000):
+        clusters.join_block(np.ones(1000), x[at : at + 1000], x[at : at + 1000] ** 2)
+    assert len(clusters.weight) == 200 and clusters.weight.sum() + clusters.dropped == pytest.approx(3000)
+
+
+def test_centers_are_off_by_no_more_than_the_stated_error():
+    """Every point that joins lies within tau of where the center was before its block."""
+    rng = np.random.default_rng(2)
+    clusters, block = MicroClusters(2.5, 200), 500
+    clusters.join_block(np.ones(block), *(lambda v: (v, v * v))(rng.normal(0, 0.5, (block, 2))))
+    before, held = clusters.ls / clusters.weight[:, None], clusters.weight.copy()
+    clusters.join_block(np.ones(block), *(lambda v: (v, v * v))(rng.normal(0, 0.5, (block, 2))))
+    moved = np.linalg.norm(clusters.ls[: len(held)] / clusters.weight[: len(held), None] - before, axis=1)
+    brought = 1 - held / clusters.weight[: len(held)]
+    assert (moved <= 2.5 * brought + 1e-12).all()
