@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,23 +23,47 @@ KEEP_REPORTS = 100
 SLOTS = 3
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
+
+
+def _seconds(interval: str) -> int:
+    """Length of an interval such as ``15 minutes``."""
+    number, unit = interval.split()
+    return int(number) * _UNITS[unit.lower().rstrip("s")]
+
+
 def sliding_stats(stream: DataFrame, key: str, ts: str = "pu_dt", window: str = "15 minutes",
                   slide: str = "1 minute", watermark: str = "15 minutes",
                   values: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """Sliding event-time windows per key.
 
-    Partial sums are formed before the state exchange, so a hot key costs one row per task and
-    window. Events later than the watermark are dropped.
+    Two chained aggregates: panes as long as the slide first, to which every event adds once, then windows of panes. So
+    only a pane's sums are copied ``window / slide`` times, not events. Partial sums are formed before the state exchange,
+    so a hot key costs one row per task and pane. The first stage drops events later than the watermark and hands a pane
+    on when the watermark has passed it; the second reports a window when it has passed the window's end.
+    A window that is no multiple of the slide is cut into panes of their greatest common divisor.
     """
+    pane = f"{math.gcd(_seconds(window), _seconds(slide))} seconds"
     timed = usable(stream, values).filter(F.col(key).isNotNull()).withColumn("_ts", F.col(ts).cast("timestamp"))
+    sums = [F.count(F.lit(1)).alias("_n")]
+    for v in values:
+        sums += [F.sum(v).alias(f"_{v}_sum"), (F.var_pop(v) * F.count(v)).alias(f"_{v}_spread")]
+    panes = timed.withWatermark("_ts", watermark).groupBy(F.window("_ts", pane).alias("_p"), key).agg(*sums)
+
+    n, merged, out = F.col("n"), [F.sum("_n").alias("n")], []
+    for v in values:
+        of_pane = F.col(f"_{v}_sum")
+        merged += [F.sum(of_pane).alias(f"_{v}_sum"), F.sum(F.col(f"_{v}_spread") + of_pane * of_pane / F.col("_n")).alias(f"_{v}_squares")]
+        mean = F.col(f"_{v}_sum") / n
+        variance = F.greatest(F.lit(0.0), F.col(f"_{v}_squares") / n - mean * mean)
+        out += [mean.alias(f"{v}_mean"), F.sqrt(variance).alias(f"{v}_std")]
     return (
-        timed.withWatermark("_ts", watermark)
-        .groupBy(F.window("_ts", window, slide).alias("_w"), key)
-        .agg(*window_stats(values))
+        panes.groupBy(F.window("_p", window, slide).alias("_w"), key)
+        .agg(*merged)
         .select(
             F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
             F.col("_w.end").cast("timestamp_ntz").alias("window_end"),
-            key, "n", *[f"{v}_{s}" for v in values for s in ("mean", "std")],
+            key, "n", *out,
         )
     )
 

@@ -74,3 +74,39 @@ def test_latest_window_per_key(spark):
     assert got.keys() == last.keys()
     for k, (at, i) in last.items():
         assert got[k][0] == per_event[i][0] and got[k][1] == pytest.approx(per_event[i][2])
+
+
+def test_a_hot_window_is_dealt_to_many_panes(spark):
+    """All events in one window's time: the busiest group of the window step holds little of them."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(6400).select(
+        F.lit("k").alias("k"), F.timestamp_micros(F.col("id") * 140_000).cast("timestamp_ntz").alias("pu_dt"),
+        *[(F.col("id") % 97).cast("double").alias(v) for v in rolling.ATTRIBUTES])
+    got = rolling.trailing_stats(rows, "k", "pu_dt", 900, keep=[]).orderBy("pu_dt").collect()
+    for i in (0, 1, 63, 64, 3000, 6399):
+        first = max(0, -(-(i * 140_000 - 900_000_000) // 140_000))
+        window = [j % 97 for j in range(first, i + 1)]
+        assert got[i]["n"] == len(window)
+        assert got[i]["fare_usd_mean"] == pytest.approx(np.mean(window)) and got[i]["fare_usd_std"] == pytest.approx(np.std(window))
+    pane = F.floor(F.unix_micros(F.col("pu_dt").cast("timestamp")) / (900_000_000 // rolling.BLOCKS))
+    sizes = sorted(r["count"] for r in rows.groupBy(pane).count().collect())
+    assert len(sizes) > 60 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 64])
+def test_blocks_do_not_change_the_result(spark, blocks):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(blocks)
+    data = [(rng.choice("ab"), rng.randrange(0, 4000), rng.random() * 9) for _ in range(600)]
+    rows = spark.createDataFrame(data, "k string, s long, x double").select(
+        "k", F.timestamp_seconds("s").cast("timestamp_ntz").alias("t"), "s", "x")
+    got = rolling.trailing_stats(rows, "k", "t", 300, ["x"], keep=["s"], blocks=blocks).collect()
+    assert len(got) == 600
+    for r in got:
+        window = [x for k, s, x in data if k == r["k"] and r["s"] - 300 <= s <= r["s"]]
+        assert r["n"] == len(window) and r["x_mean"] == pytest.approx(np.mean(window))
+        assert r["x_std"] == pytest.approx(np.std(window), abs=1e-7)
