@@ -40,7 +40,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ranked = None
         if ranks:
             import tiktoken
@@ -60,6 +60,8 @@ class Encoder:
         return array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if any(s in text for s in self.special):  # what surrounds such a string may depend on it
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         units = _CUT.split(text) if _ODD.search(text) else text.split(" ")
         return self._ids(units[0]) + b"".join(self.spaced.get(units[1:]))
 

@@ -56,14 +56,22 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda s, x: s + x)
 
 
-def _sums_before(numbers: Column, block: int = 64) -> Column:
-    """Per element the sum of all before it, by way of the sums of blocks."""
+def _sums_before(numbers: Column, block: int = 64, levels: int = 2) -> Column:
+    """Per element the sum of all before it: those of its block, and the sums of blocks before, found the same way.
+
+    So an element costs about ``block`` steps a level, and the top level has one sum for ``block ** (levels + 1)`` elements.
+    """
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor(F.size(numbers) / block).cast("int")),
         lambda b: _sum(F.slice(numbers, b * block + 1, F.lit(block))))
-    return _let(blocks, lambda sums: F.transform(numbers, lambda _, i: _sum(
-        F.slice(sums, F.lit(1), F.floor(i / block).cast("int"))) + _sum(
-        F.slice(numbers, F.floor(i / block).cast("int") * block + 1, i % block))))
+
+    def before(sums: Column) -> Column:
+        if levels:
+            return _sums_before(sums, block, levels - 1)
+        return F.transform(sums, lambda _, i: _sum(F.slice(sums, F.lit(1), i)))
+
+    return _let(blocks, lambda sums: _let(before(sums), lambda earlier: F.transform(numbers, lambda _, i: F.get(
+        earlier, F.floor(i / block).cast("int")) + _sum(F.slice(numbers, F.floor(i / block).cast("int") * block + 1, i % block)))))
 
 
 def kind_spans(text: Column, number: int) -> Column:
@@ -74,8 +82,9 @@ def kind_spans(text: Column, number: int) -> Column:
     def spans(found: Column) -> Column:
         gaps = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
         sizes = F.transform(found, lambda x: F.char_length(x))
+        # Sums of an expression would compute it once an element.
         return _let(gaps, lambda g: _let(sizes, lambda n: _let(
-            _sums_before(F.zip_with(F.slice(g, F.lit(1), F.size(n)), n, lambda a, b: a + b)),
+            _let(F.zip_with(F.slice(g, F.lit(1), F.size(n)), n, lambda a, b: a + b), lambda each: _sums_before(each)),
             lambda before: F.transform(n, lambda size, i: F.struct(
                 (F.get(before, i) + F.get(g, i)).alias("s"), F.lit(number).alias("k"),
                 (F.get(before, i) + F.get(g, i) + size).alias("e"))))))

@@ -16,7 +16,6 @@ ODD = ["", " ", "  a", "a  b", "a b ", "a\n b", "it's we'll  x", "日本語 テ
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -24,11 +23,16 @@ def test_ids_equal_the_tokenizers(plain, spark, sf):
     encoder = packing.Encoder(JSON, RANKS)
     rng = random.Random(1)
     texts = ODD + ["".join(rng.choice(["a", " ", "é", "\n", "'s", "7", "ж", "，", "\t", "the"]) for _ in range(40)) for _ in range(300)]
+    texts += ["".join(rng.choice(["a", " ", "the ", "<|endoftext|>", "é", "<|", "\n"]) for _ in range(20)) for _ in range(100)]
     texts += [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
     for text in texts:
         assert encoder.encode(text) == array("I", plain(text)).tobytes(), text[:80]
 
 
+def test_special_strings_have_their_own_id(plain):
+    assert plain("<|endoftext|>") == [50256] and packing.Encoder(JSON, RANKS).encode("<|endoftext|>") == array("I", [50256]).tobytes()
+
+
 def test_places(spark, plain):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randrange(1, 60)) for i in range(200)] + [(7, None), (None, ""), (3, "x")] * 2

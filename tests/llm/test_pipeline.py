@@ -107,3 +107,16 @@ def test_empty_table_and_extra_columns(spark, tmp_path):
     assert cp.run(spark, str(tmp_path)).count() == 0
     assert [n for n, _ in cp.STAGES] == ["language_id", "line_dedup", "simhash", "secret_scan", "packing"]
     assert secret_scan.SCOPE > 0
+
+
+def test_extra_columns_of_any_name_survive(spark, sf):
+    from pyspark.sql import functions as F
+
+    names = ["score", "removed", "kept", "lang_pred", "spans", "k1", "fingerprint", "a.b"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names), name

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 
@@ -68,3 +69,13 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert ss.digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_long_text_with_many_matches_takes_linear_time(spark):
+    text = "token=abcdefgh1 AKIA" + "A1" * 8 + " x\n"
+    docs = spark.createDataFrame([(1, text * 25_000)], "doc_id long, text string")
+    started = time.time()
+    row = ss.digests(docs).first()
+    assert row.n_assign == row.n_access == 25_000 and time.time() - started < 90
+    spans = row.spans.split(",")
+    assert spans[-1] == f"access:{24_999 * len(text) + 16}:{24_999 * len(text) + 36}"
