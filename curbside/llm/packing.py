@@ -40,6 +40,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
+        self.whole = Tokenizer.from_file(tokenizer)
+        # A unit holds no special string, so it need not be searched for one.
+        self.tokenizer.encode_special_tokens = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ranked = None
         if ranks:
@@ -61,7 +64,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):  # what surrounds such a string may depend on it
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         units = _CUT.split(text) if _ODD.search(text) else text.split(" ")
         return self._ids(units[0]) + b"".join(self.spaced.get(units[1:]))
 
