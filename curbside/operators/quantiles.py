@@ -10,8 +10,9 @@ values and narrowing the ranges that hold them, until a group has at most ``POIN
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from curbside.session import checkpointed, small_side
 
@@ -42,6 +43,35 @@ def merge_sketches(stored: DataFrame, keys: Sequence[str], k: int = 800) -> Data
     )
 
 
+@dataclass
+class SketchTable:
+    """Sketches per key and unit of time below ``path``, a folder per unit; units that are there are not sketched again."""
+
+    path: str
+    keys: Sequence[str]
+    unit: str
+    value: str
+    k: int = 800
+
+    def units(self, spark: SparkSession) -> DataFrame | None:
+        """The units sketched so far, from the names of their folders alone."""
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+            return None
+        return spark.read.parquet(self.path).select(F.col("_unit").cast("string").alias("_unit")).distinct()
+
+    def update(self, df: DataFrame) -> None:
+        """Sketch the units of ``df`` that the table lacks; rows of the others are filtered before they are aggregated."""
+        rows = df.filter(F.col(self.unit).isNotNull()).withColumn("_unit", F.col(self.unit).cast("string"))
+        done = self.units(df.sparkSession)
+        if done is not None:
+            rows = rows.join(small_side(checkpointed(done)), "_unit", "left_anti")
+        sketches(rows, [*self.keys, "_unit"], self.value, self.k).write.mode("append").partitionBy("_unit").parquet(self.path)
+
+    def merged(self, spark: SparkSession, keys: Sequence[str]) -> DataFrame:
+        return merge_sketches(spark.read.parquet(self.path), keys, self.k)
+
+
 def sketch_quantile(sketch: Column | str, quantile: float) -> Column:
     return F.kll_sketch_get_quantile_double(sketch, F.lit(quantile))
 

@@ -609,6 +609,9 @@ def oracle_sql() -> dict[str, str]:
         "rolling_stats_top_zones": using("trip_events", query=(
             f"SELECT * FROM (SELECT pu_locid, COUNT(*) AS seen FROM trip_events GROUP BY 1 ORDER BY seen DESC, pu_locid LIMIT 10) "
             f"LEFT JOIN ({_latest('pu_locid')}) USING (pu_locid)")),
+        "bounded_replay": using("trip_events", query=(
+            "SELECT COUNT(*) AS n, MIN(ms) AS first_ms, MAX(ms) AS last_ms, CAST(SUM(ms) AS BIGINT) AS sum_ms FROM ("
+            "SELECT epoch_us(pu_dt) // 1000 AS ms FROM trip_events WHERE pu_dt IS NOT NULL ORDER BY ms LIMIT 70)")),
         "rolling_windows": using("trip_events", query=(
             "SELECT s AS window_start, s + INTERVAL '6' HOUR AS window_end, pu_borough, COUNT(*) AS n, " + _moments() + " FROM ("
             f"SELECT *, date_trunc('hour', pu_dt) - INTERVAL '1' HOUR * unnest(range(0, 6)) AS s FROM ({_FILLED})) "

@@ -17,6 +17,7 @@ from curbside.sinks.parquet import file_rows, repack
 from curbside.sources import feeds
 from curbside.sources.generations import read_conformed
 from curbside.streaming import clusters, events
+from curbside.streaming.bounded import BoundedIntake
 from curbside.streaming.frozen import ClusterTable
 from curbside.streaming.producer import produce
 from curbside.streaming.replay import replay, time_slices
@@ -371,6 +372,25 @@ def exact_quantile(spark, sf):
     return rounded(found.select("dataset", "col", F.col("quantiles")[0].alias("q95")), "q95", places=9)
 
 
+def agg_quantile_estimates(spark, sf):
+    """The estimates themselves, with how far their ranks are off; approximate, so there is no SQL to equal them."""
+    long = colstats.melt(clean.with_trip_time(views.trips(spark, sf)), "dataset", present=colstats.PRESENT)
+    keys = ["dataset", "col"]
+    found = checkpointed(long.groupBy(*keys).agg(quantiles.approx_quantile(F.col("value"), 0.95, 1000).alias("estimate")))
+    return found.join(quantiles.rank_error(long, keys, "value", found, 0.95, "estimate"), keys)
+
+
+def quantile_sketch_table(spark, sf):
+    """Medians from a table of monthly sketches that is kept up to date: a second run adds what is new alone."""
+    timed = clean.with_trip_time(views.trips(spark, sf)).filter(F.col("trip_time").isNotNull()).withColumn(
+        "month", F.trunc("pu_dt", "month"))
+    table = quantiles.SketchTable(scratch_path(spark, "sketches"), ["dataset"], "month", "trip_time")
+    table.update(timed.filter(F.col("month") < views.SPLIT))
+    table.update(timed)
+    found = checkpointed(table.merged(spark, ["dataset"]).select("dataset", quantiles.sketch_quantile("sketch", 0.5).alias("estimate")))
+    return found.join(quantiles.rank_error(timed, ["dataset"], "trip_time", found, 0.5, "estimate"), "dataset")
+
+
 def quantile_sketches(spark, sf):
     """Stored monthly sketches merged per feed, and whether the median's rank is within two percent."""
     timed = clean.with_trip_time(views.trips(spark, sf)).withColumn("month", F.trunc("pu_dt", "month"))
@@ -635,6 +655,19 @@ def decayed_weight(spark, sf):
     return single(weights, "weight")
 
 
+# Messages that the bounded job takes of all that are replayed.
+BOUND = 70
+
+
+def bounded_replay(spark, sf):
+    """A job that takes a tenth of its messages' number at the smallest scale, then no more, over all micro-batches."""
+    intake = BoundedIntake(scratch_path(spark, "bounded"), BOUND)
+    _event_stream(spark, sf, intake.writer, slices=4)
+    return intake.messages(spark, "key string, value string, event_ms long").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_ms").alias("first_ms"), F.max("event_ms").alias("last_ms"),
+        F.sum("event_ms").alias("sum_ms"))
+
+
 def _micro(spark, sf, tau: float = TAU, spread: float = 1.0) -> DataFrame:
     """Micro-clusters of the replayed events; ``spread`` scales the borough part of the features."""
     table = ClusterTable(scratch_path(spark, "micro"), tau=tau)
@@ -739,6 +772,8 @@ def queries() -> dict[str, Query]:
         "colstats": colstats_query,
         "colstats_trip_time": colstats_trip_time,
         "agg_quantile": agg_quantile,
+        "agg_quantile_estimates": agg_quantile_estimates,
+        "quantile_sketch_table": quantile_sketch_table,
         "exact_quantile": exact_quantile,
         "quantile_sketches": quantile_sketches,
         "volume_month_feed": volume_month_feed,
@@ -779,6 +814,7 @@ def queries() -> dict[str, Query]:
         "rolling_stats_borough": rolling_stats_borough,
         "rolling_stats_top_zones": rolling_stats_top_zones,
         "rolling_windows": rolling_windows,
+        "bounded_replay": bounded_replay,
         "stream_features": stream_features,
         "decayed_weight": decayed_weight,
         "micro_clusters": micro_clusters,

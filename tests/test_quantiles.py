@@ -108,3 +108,20 @@ def test_tip_curve_drops_tips_at_the_limit(spark):
     limit = np.quantile(values, 0.95)
     kept = [v for v in values if v < limit]
     assert got == [("x", 15, pytest.approx(np.mean(kept)), len(kept))]
+
+
+def test_sketch_table_adds_new_units_alone(spark):
+    from curbside.session import scratch_path
+
+    rows = spark.range(30_000).select(
+        F.lit("a").alias("g"), F.concat(F.lit("2024-0"), (F.col("id") % 3 + 1).cast("string")).alias("month"),
+        F.col("id").cast("double").alias("v"))
+    table = q.SketchTable(scratch_path(spark, "sketches"), ["g"], "month", "v")
+    table.update(rows.filter("month < '2024-03'"))
+    files = {r.f for r in spark.read.parquet(table.path).select(F.input_file_name().alias("f")).collect()}
+    # Were the old months read into sketches again, these changed values would show.
+    table.update(rows.withColumn("v", F.when(F.col("month") < "2024-03", -1.0).otherwise(F.col("v"))))
+    after = {r.f for r in spark.read.parquet(table.path).select(F.input_file_name().alias("f")).collect()}
+    assert files < after
+    found = table.merged(spark, ["g"]).select("g", "n", q.sketch_quantile("sketch", 0.5).alias("e")).first()
+    assert found.n == 30_000 and found.e == pytest.approx(15_000, rel=0.03)
