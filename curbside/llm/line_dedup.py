@@ -5,11 +5,15 @@
   unless asked for, since a passage must not stay because many documents share it.
 * Documents with the same sequence of lines count once here: all but the earliest are later documents of that one.
 * A document is aligned with the earliest holder of each of its rare lines, so a line makes as many pairs as it has
-  holders, not their square. Documents are ordered by doc_id (null last), then text key. The documents that are
-  aligned with the same holder are dealt into ``FAN`` parts, each of which gets a copy of it.
+  holders, not their square. With ``every`` the shortest runs of lines of ``min_block`` characters are what documents
+  share: a long line is a run of its own, short lines count together, and a document meets the earliest holder of each run.
+  Documents are ordered by doc_id (null last), then text key. The documents that are aligned with the same holder are
+  dealt into ``FAN`` parts, each of which gets a copy of it.
 * Patience diff aligns the two: lines that are unique in both, in their longest common order, then again between them.
+  With ``every`` the two are aligned again from each shared run on that this leaves, since it is in another order or has
+  no unique line; so no run of ``min_block`` characters stays that an earlier document holds.
   Maximal aligned blocks of ``min_block`` characters or more are deleted from the later document. Lines that are not
-  rare go with a block like any other.
+  rare go with a block like any other. Nothing but copies of whole documents goes without having been aligned.
 
 Rows with the same doc_id and text are one document, and share its result. Null texts stay null.
 """
@@ -76,12 +80,12 @@ def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def common_lines(a: list[int], b: list[int], sizes: list[int], min_block: int) -> list[int]:
-    """Positions in b of aligned blocks that have ``min_block`` characters or more there."""
+def blocks(pairs: list[tuple[int, int]], sizes: list[int], min_block: int) -> list[int]:
+    """Positions in the later document of aligned blocks that have ``min_block`` characters or more there."""
     out: list[int] = []
     block: list[int] = []
     end = None
-    for i, j in [*aligned(a, b), (-1, -1)]:
+    for i, j in [*pairs, (-1, -1)]:
         if (i - 1, j - 1) != end:
             if sum(sizes[x] for x in block) >= min_block:
                 out.extend(block)
@@ -91,6 +95,32 @@ def common_lines(a: list[int], b: list[int], sizes: list[int], min_block: int) -
     return out
 
 
+def aligned_from(a: list[int], b: list[int], p: int, i: int, n: int) -> list[tuple[int, int]]:
+    """The alignment of what follows a[p] and b[i], over twice as many lines as long as all of them are equal."""
+    while True:
+        pairs = aligned(a[p : p + n], b[i : i + n])
+        if i + n >= len(b) or p + n >= len(a) or pairs != [(x, x) for x in range(n)]:
+            return [(p + x, i + y) for x, y in pairs]
+        n *= 2
+
+
+def common_lines(a: list[int], b: list[int], sizes: list[int], min_block: int, runs: list[dict] | None = None) -> list[int]:
+    """Positions in b of aligned blocks of ``min_block`` characters or more.
+
+    ``runs`` are lines i to j of b that are known to start at line p of a. Where the alignment of the whole documents has
+    left one, since it lies in another order or none of its lines is unique, the two are aligned again from its places on.
+    """
+    out = blocks(aligned(a, b), sizes, min_block)
+    gone = set(out)
+    for run in sorted(runs or (), key=lambda x: (x["i"], x["j"])):
+        i, j, p = run["i"], run["j"], run["p"]
+        if not gone.issuperset(range(i, j)):
+            more = blocks(aligned_from(a, b, p, i, j - i), sizes, min_block)
+            out.extend(x for x in more if x not in gone)
+            gone.update(more)
+    return out
+
+
 def windows(hs: np.ndarray, sizes: np.ndarray, ends: np.ndarray, min_block: int) -> tuple[np.ndarray, ...]:
     """Hash, first line and line after the last of the shortest windows of ``min_block`` characters or more.
 
@@ -115,12 +145,6 @@ def windows(hs: np.ndarray, sizes: np.ndarray, ends: np.ndarray, min_block: int)
     return ((sums[after] - sums[first]) * np.cumprod(back)[first]).view(np.int64), first, after
 
 
-def covered(first: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Positions in any of the ranges, in order."""
-    change = np.bincount(first, minlength=after.max() + 1) - np.bincount(after, minlength=after.max() + 1)
-    return np.flatnonzero(np.cumsum(change))
-
-
 def _let(value: Column, body) -> Column:
     """body(value), with the value computed once per row."""
     return F.transform(F.array(value), body)[0]
@@ -139,10 +163,22 @@ def _sequences(docs: DataFrame) -> DataFrame:
     )
 
 
-def shared_runs(kinds: DataFrame, min_block: int) -> tuple[DataFrame, list[str]]:
-    """Per document: ``removed``, lines in a run that an earlier one holds; and the paths of tables it reads."""
-    # Numbers in document order; the staged table keeps them.
-    numbered, numbered_path = staged(kinds.orderBy("o").select(F.monotonically_increasing_id().alias("r"), "o", "hs", "ls"), "line-kinds")
+def line_pairs(kinds: DataFrame, min_line: int, rare: int | None) -> tuple[DataFrame, list[str]]:
+    """(later, first): documents and the earliest holders of their rare lines; and the paths of tables it reads."""
+    held = kinds.select("r", F.explode(F.array_distinct(F.expr(
+        f"transform(filter(arrays_zip(hs, ls), x -> x.ls >= {int(min_line)}), x -> x.hs)"))).alias("h"))
+    holders = held.groupBy("h").agg(F.min("r").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    if rare is not None:
+        holders = holders.filter(F.col("n") <= rare)
+    # A written table, so that the join is of two plain shuffles and the rows of a very common line can be split.
+    holders, path = staged(holders, "line-holders")
+    none = F.lit(None).cast("array<struct<i:int,j:int,p:int>>").alias("runs")
+    return held.join(holders, "h").filter("r > first").select("r", "first").distinct().select("r", "first", none), [path]
+
+
+def run_pairs(kinds: DataFrame, min_block: int) -> tuple[DataFrame, list[str]]:
+    """(later, first, runs): documents, the earliest holders of their shortest runs of ``min_block`` characters, and which
+    lines of the later one (i to j) start where (p) in the earlier one; and the paths of tables it reads."""
 
     def cut(batch: pa.RecordBatch) -> dict | None:
         hs, ls = batch.column("hs"), batch.column("ls")
@@ -153,18 +189,11 @@ def shared_runs(kinds: DataFrame, min_block: int) -> tuple[DataFrame, list[str]]
         before = (ends - count)[document]
         return {"w": keys, "r": batch.column("r").to_numpy()[document], "i": first - before, "j": after - before}
 
-    cuts = map_arrow(numbered.select("r", "hs", "ls"), cut, "w long, r long, i int, j int")
-    known, known_path = staged(cuts.groupBy("w").agg(F.min("r").alias("first"), F.max("r").alias("last")).filter(
-        "first < last").select("w", "first"), "line-windows")
-    later, later_path = staged(cuts.join(known, "w").filter("r > first").select("r", "i", "j"), "line-runs")
-
-    def join(batch: pa.RecordBatch) -> dict:
-        columns = (batch.column(c).to_pylist() for c in "ij")
-        return {"r": batch.column("r"), "removed": [covered(np.array(i), np.array(j)) for i, j in zip(*columns, strict=True)]}
-
-    runs = map_arrow(later.groupBy("r").agg(F.collect_list(F.struct("i", "j")).alias("x")).select(
-        "r", F.col("x.i").alias("i"), F.col("x.j").alias("j")), join, "r long, removed array<int>")
-    return runs.join(numbered.select("r", "o"), "r").select("o", "removed"), [numbered_path, known_path, later_path]
+    cuts = map_arrow(kinds.select("r", "hs", "ls"), cut, "w long, r long, i int, j int")
+    known, path = staged(cuts.groupBy("w").agg(F.min(F.struct("r", "i")).alias("at"), F.max("r").alias("last")).filter(
+        "at.r < last").select("w", F.col("at.r").alias("first"), F.col("at.i").alias("p")), "line-windows")
+    shared = cuts.join(known, "w").filter("r > first")
+    return shared.groupBy("r", "first").agg(F.collect_list(F.struct("i", "j", "p")).alias("runs")), [path]
 
 
 def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = RARE, min_block: int = MIN_BLOCK,
@@ -176,41 +205,30 @@ def removed_lines(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None =
     first = keyed.groupBy("s1", "s2", "s3").agg(F.min("o").alias("first"), F.count("*").alias("n"))
     copies = keyed.join(first.filter("n > 1"), ["s1", "s2", "s3"]).filter("o != first").select("o", "first")
     copies, copies_path = staged(copies, "line-copies")
-    kinds = sequences.join(copies, "o", "left_anti")
-
-    held = kinds.select("o", F.explode(F.array_distinct(F.expr(
-        f"transform(filter(arrays_zip(hs, ls), x -> x.ls >= {int(min_line)}), x -> x.hs)"))).alias("h"))
-    holders = held.groupBy("h").agg(F.min("o").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    if rare is not None:
-        holders = holders.filter(F.col("n") <= rare)
-    # A written table, so that the join is of two plain shuffles and the rows of a very common line can be split.
-    holders, holders_path = staged(holders, "line-holders")
-    near, near_path = staged(held.join(holders, "h").filter("o != first").select(
-        "o", "first", F.pmod(F.xxhash64("o"), F.lit(fan)).cast("int").alias("part")).distinct(), "line-pairs")
-    earlier = near.select("first", "part").distinct().join(sequences.select(F.col("o").alias("first"), F.col("hs").alias("a")), "first")
-    pairs = near.join(sequences.select("o", F.col("hs").alias("b"), F.col("ls").alias("sizes")), "o").join(
+    # Numbers in document order; the staged table keeps them.
+    kinds, kinds_path = staged(sequences.join(copies, "o", "left_anti").orderBy("o").select(
+        F.monotonically_increasing_id().alias("r"), "o", "hs", "ls"), "line-kinds")
+
+    pairs, more = run_pairs(kinds, min_block) if every else line_pairs(kinds, min_line, rare)
+    near, near_path = staged(pairs.withColumn("part", F.pmod(F.xxhash64("r"), F.lit(fan)).cast("int")), "line-pairs")
+    discard(docs.sparkSession, *more)
+    earlier = near.select("first", "part").distinct().join(kinds.select(F.col("r").alias("first"), F.col("hs").alias("a")), "first")
+    both = near.join(kinds.select("r", "o", F.col("hs").alias("b"), F.col("ls").alias("sizes")), "r").join(
         earlier, ["first", "part"])
 
     def align(batch: pa.RecordBatch) -> dict:
-        a, b, sizes = (batch.column(c).to_pylist() for c in ("a", "b", "sizes"))
+        a, b, sizes, runs = (batch.column(c).to_pylist() for c in ("a", "b", "sizes", "runs"))
         return {"o": batch.column("o"), "removed": [
-            common_lines(x, y, s, min_block) for x, y, s in zip(a, b, sizes, strict=True)]}
-
-    found = map_arrow(pairs.select("o", "a", "b", "sizes"), align, f"{_ORDER}, removed array<int>").filter("size(removed) > 0")
-    paths = [sequences_path, copies_path, holders_path, near_path]
-    if every:
-        found, found_path = staged(found, "line-blocks")
-        discard(docs.sparkSession, holders_path, near_path)
-        runs, more = shared_runs(kinds, min_block)
-        found = found.unionByName(runs)
-        paths += [found_path, *more]
+            common_lines(x, y, s, min_block, r) for x, y, s, r in zip(a, b, sizes, runs, strict=True)]}
+
+    found = map_arrow(both.select("o", "a", "b", "sizes", "runs"), align, f"{_ORDER}, removed array<int>").filter("size(removed) > 0")
     whole = sequences.join(copies, "o", "left_semi").filter(
         F.aggregate("ls", F.lit(0).cast("long"), lambda s, x: s + x) >= min_block
     ).select("o", F.sequence(F.lit(0), F.size("hs") - 1).alias("removed"))
     gone = found.unionByName(whole).groupBy("o").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"))
     result, path = staged(gone.select(
         F.when(~F.col("o.z"), F.col("o.id")).alias("doc_id"), "o.k1", "o.k2", "removed"), "removed-lines")
-    discard(docs.sparkSession, *paths)
+    discard(docs.sparkSession, sequences_path, copies_path, kinds_path, near_path)
     return result, path
 
 
@@ -226,7 +244,7 @@ def deduplicated(docs: DataFrame, min_line: int = MIN_LINE, rare: int | None = R
                  fan: int = FAN, every: bool = False) -> DataFrame:
     """The documents with shortened ``text`` and ``removed``, positions of deleted lines (null: none).
 
-    Without ``every`` this is the alignment with the earliest holders alone. All rows and columns stay but a column ``removed``, which is replaced.
+    Without ``every`` a document is aligned once with the earliest holder of each line. All rows and columns stay but a column ``removed``, which is replaced.
     """
     gone, _ = removed_lines(docs, min_line, rare, min_block, fan, every)
     gone = gone.select(*[F.col(c).alias(f"_g_{c}") for c in gone.columns])

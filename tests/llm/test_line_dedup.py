@@ -183,3 +183,31 @@ def test_passage_of_short_lines_only(spark):
     got = removed_by(spark, rows)
     assert got[1, rows[0][1]] is None and got[3, rows[2][1]] is None
     assert sorted(got[2, rows[1][1]]) == list(range(1, 61))
+
+
+def test_nothing_goes_without_alignment(spark, monkeypatch):
+    """Shared runs only say which documents are aligned: with an alignment that pairs nothing, all lines stay."""
+    p = passage(random.Random(4))
+    rows = [(1, f"first\n{p}\nend of one"), (2, f"second\n{p}\nend of two")]
+    assert sorted(removed_by(spark, rows)[2, rows[1][1]]) == list(range(1, 7))
+    monkeypatch.setattr(ld, "aligned", lambda a, b: [])
+    one = [{"i": 1, "j": 3, "p": 0}]
+    assert ld.common_lines([5, 6, 7], [1, 5, 6, 7], [40] * 4, 40, one) == []
+
+
+def test_runs_in_another_order():
+    """The order of the blocks differs, so one alignment cannot hold them all; the runs it leaves are aligned again."""
+    x, y, z = [1, 2, 3, 4], [5, 6, 7], [8, 9]
+    a, b = [*x, 50, *y, 51, *z], [*z, 60, *y, 61, *x]
+    sizes = [20] * len(b)
+    runs = [{"i": j, "j": j + 2, "p": a.index(b[j])} for j in range(len(b) - 1) if b[j] < 50 and b[j + 1] < 50]
+    once = ld.common_lines(a, b, sizes, 40)
+    assert 0 < len(once) < 9
+    assert sorted(ld.common_lines(a, b, sizes, 40, runs)) == [0, 1, 3, 4, 5, 7, 8, 9, 10]
+
+
+def test_many_moved_lines_take_few_steps():
+    n = 3000
+    a, b = list(range(n)), list(range(n))[::-1]
+    runs = [{"i": j, "j": j + 1, "p": a[b[j]]} for j in range(n)]
+    assert sorted(ld.common_lines(a, b, [40] * n, 40, runs)) == list(range(n))
