@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from curbside.operators import evolution
@@ -42,3 +44,61 @@ def test_field_names_differ_by_case(spark):
     rows = [("f0", "a", "int64", False), ("f0", "A", "double", False), ("f1", "A", "double", False)]
     profile = spark.createDataFrame(rows, "file string, field string, type string, has_nulls boolean")
     assert {r.field: r.schema for r in evolution.final_schema(profile).collect()} == {"A": "double"}
+
+
+def folded(rows):
+    """The rules applied file by file."""
+    out, state, files = [], {}, sorted({r[0] for r in rows})
+    for i, file in enumerate(files):
+        now = {r[1]: r[2:] for r in rows if r[0] == file}
+        for name in sorted(set(state) | set(now)):
+            if name not in now:
+                out.append((file, name, "-"))
+                del state[name]
+                continue
+            type_, nulls = now[name]
+            before = state.get(name)
+            if before is None:
+                state[name] = (type_, nulls, type_ != "null" or nulls)
+            else:
+                known = before[2]
+                state[name] = (before[0] if type_ == "null" else type_, before[1] or nulls or (type_ == "null" and known),
+                               known or type_ != "null" or nulls)
+            shown = ("?" if state[name][1] else "") + state[name][0]
+            old = before and ("?" if before[1] else "") + before[0]
+            if before is None:
+                out.append((file, name, (": " if i == 0 else "+ ") + shown))
+            elif old != shown:
+                out.append((file, name, f": {old} -> {shown}"))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_blocks_of_files_against_fold(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for name in "abcdefghijkl":
+        kind, there = "int64", rng.random() < 0.7
+        for i in range(40):
+            there = there if rng.random() < 0.9 else not there
+            kind = kind if rng.random() < 0.8 else rng.choice(["int64", "double", "null", "null"])
+            if there:
+                rows.append((f"f{i:03}", name, kind, rng.random() < 0.1))
+    rows += [(f"f{i:03}", "always", "int64", False) for i in range(40)]
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        profile = spark.createDataFrame(rows, "file string, field string, type string, has_nulls boolean")
+        assert evolution.file_order(profile).select("block").distinct().count() > 3
+        got = sorted(tuple(r) for r in evolution.schema_changes(profile).collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == sorted(folded(rows))
+
+
+def test_no_files(spark):
+    profile = spark.createDataFrame([], "file string, field string, type string, has_nulls boolean")
+    assert evolution.schema_changes(profile).count() == 0
