@@ -394,6 +394,37 @@ def _latest(key: str) -> str:
     )
 
 
+def _reports() -> str:
+    """Both reports of the replayed events; the second also holds what the first one saw."""
+    parts = []
+    for batch in (0, 1):
+        shown = f"SELECT * FROM sliced WHERE slice <= {batch}"
+        good = f"SELECT * FROM ({shown}) WHERE ms % 7 <> 0"
+        read = [f"(SELECT COUNT(*) FROM sliced WHERE slice = {batch} AND ms % 7 {sign} 0) AS {name}" for sign, name in (("<>", "good"), ("=", "bad"))]
+        of = lambda key: _latest(key).replace("FROM trip_events", f"FROM ({good})")
+        seen = (f"SELECT pu_locid, COUNT(*) AS seen, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, pu_locid) AS INT) AS rank "
+                f"FROM ({good}) WHERE pu_locid IS NOT NULL GROUP BY 1 QUALIFY rank <= 10")
+        tail = f"CAST({batch} AS BIGINT) AS batch, " + ", ".join(read)
+        parts.append(f"SELECT 'borough' AS scope, pu_borough AS key, CAST(NULL AS INT) AS rank, CAST(NULL AS BIGINT) AS seen, * EXCLUDE (pu_borough, last_ts), {tail} "
+                     f"FROM ({of('pu_borough')}) WHERE pu_borough IS NOT NULL")
+        parts.append(f"SELECT 'zone' AS scope, CAST(pu_locid AS VARCHAR) AS key, rank, seen, * EXCLUDE (pu_locid, last_ts, rank, seen), {tail} "
+                     f"FROM ({seen}) LEFT JOIN ({of('pu_locid')}) USING (pu_locid)")
+    return using("trip_events", query="SELECT * FROM (" + " UNION ALL BY NAME ".join(parts) + ")").replace(" SELECT * FROM (SELECT 'borough'", (
+        ", spanned AS (SELECT *, epoch_us(pu_dt) AS us, epoch_us(pu_dt) // 1000 AS ms FROM trip_events WHERE pu_dt IS NOT NULL), "
+        "sliced AS (SELECT *, (us - (SELECT MIN(us) FROM spanned)) // ((SELECT MAX(us) - MIN(us) + 2 FROM spanned) // 2) AS slice FROM spanned)"
+        " SELECT * FROM (SELECT 'borough'"), 1)
+
+
+def _repacks() -> str:
+    parts = []
+    for feed, size, start in (("yellow", 2000, "2012-01"), ("green", 2000, "2014-01"), ("fhv", 2000, "2015-01"), ("fhvhv", 1000, "2019-02")):
+        parts.append(
+            f"SELECT '{feed}' AS dataset, year, CAST(CEIL(n / {size}) AS BIGINT) AS files, CAST(n // {size} AS BIGINT) AS full_files, n AS rows FROM ("
+            f"SELECT CAST(YEAR(pu_dt) + 20 AS INT) AS year, COUNT(*) AS n FROM trips_raw WHERE dataset = '{feed}' "
+            f"AND pu_dt + INTERVAL '20' YEAR >= TIMESTAMP '{start}-01' GROUP BY 1)")
+    return using("trips_raw", query=" UNION ALL ".join(parts))
+
+
 def _features() -> str:
     hour = "(2 * pi() * ((hour(pu_dt) + minute(pu_dt) / 60) / 24))"
     day = "(2 * pi() * ((isodow(pu_dt) - 1) / 7))"
@@ -590,6 +621,22 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(FLOOR(log10(distance) * 100) AS INT) AS bucket, fee_fare FROM trips WHERE dataset <> 'fhv' AND distance > 0) GROUP BY 1")),
         "fare_tip_curve": using("limits", query=fare_tip),
         "fare_tip_display": using("limits", query=f"SELECT * FROM ({fare_tip}) WHERE n > 10 AND fare < 600"),
+        "repack_feed": _repacks(),
+        "feed_sql_view": using("trips_raw", query=(
+            "SELECT dataset, COUNT(*) AS n, COUNT(licensenum) AS licensed, MIN(pu_dt) AS first_dt FROM trips_raw WHERE do_locid <> 0 GROUP BY 1")),
+        "zone_load": using("zones", query="SELECT *, unnest(['csv', 'parquet']) AS kind FROM zones"),
+        "src_csv": using("trips_raw", query=(
+            "SELECT unnest(['none', 'gzip']) AS codec, * FROM (SELECT dataset, COUNT(*) AS n, CAST(SUM(pu_locid) AS BIGINT) AS sum_pu, "
+            "CAST(SUM(passengers) AS BIGINT) AS sum_passengers, COUNT(dbasenum) AS bases, MAX(pu_dt) AS last_dt FROM trips_raw GROUP BY 1)")),
+        "location_names": using("trips_raw", query=(
+            "SELECT dataset, pu_locid AS pulocationid, COUNT(*) AS n, MAX(do_locid) AS last_do FROM trips_raw GROUP BY 1, 2")),
+        "constant_label": using("trips", query=(
+            "SELECT 'yellow' AS label, pu_locid, COUNT(*) AS n FROM trips WHERE dataset = 'yellow' GROUP BY 1, 2")),
+        "pick_columns": using("trips_raw", query=f"SELECT * EXCLUDE (time_zero, fare_negative) FROM ({_anomaly('yellow')})"),
+        "resolve_ids": using("zones", query=(
+            "SELECT CAST(p AS INT) AS position, CAST([132, 138, 161, 7, 263, 999][p + 1] AS INT) AS locid, zone, borough FROM "
+            "(SELECT unnest(range(6)) AS p) LEFT JOIN zones ON zones.locid = [132, 138, 161, 7, 263, 999][p + 1]")),
+        "rolling_report": _reports(),
         "license_counts": using("trips_raw", query="SELECT licensenum, COUNT(*) AS n FROM trips_raw WHERE dataset='fhvhv' GROUP BY 1"),
         "base_last_seen": using("last_seen", query="SELECT * FROM last_seen"),
         "base_license_pairs": using("pairs", query="SELECT * FROM pairs"),

@@ -12,7 +12,7 @@ from curbside.operators import anomaly, bases, clean, colstats, decay, evolution
 from curbside.operators import quantiles, rolling, volume, zones as zone_ops
 from curbside.plans import views
 from curbside.session import checkpointed, scratch_path
-from curbside.sinks import folder as folder_sink, formats
+from curbside.sinks import feeds as feed_sink, folder as folder_sink, formats
 from curbside.sinks.parquet import file_rows, repack
 from curbside.sources import feeds
 from curbside.sources.generations import read_conformed
@@ -21,6 +21,7 @@ from curbside.streaming.bounded import BoundedIntake
 from curbside.streaming.frozen import ClusterTable
 from curbside.streaming.producer import produce
 from curbside.streaming.replay import replay, time_slices
+from curbside.streaming.report import ReportTable, cluster_job, report_job, rolling_rows
 from curbside.streaming.rolling import RollingReport, sliding_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +147,47 @@ def format_report(spark, sf):
     return formats.format_report(spark, base, table.schema)
 
 
+def repack_feed(spark, sf):
+    """Every feed's drifting monthly files, from its start month on, in files of a thousandth of its usual rows."""
+    found = []
+    for name in feeds.FEEDS:
+        folder, dst, size = scratch_path(spark, "drifting"), scratch_path(spark, "repacked"), feeds.ROWS_PER_FILE[name] // 1000
+        views.drifting_units(spark, sf, name, folder)
+        feed_sink.repack_feed(spark, folder, dst, name, size)
+        found.append(file_rows(spark, dst, ["year"]).groupBy("year").agg(
+            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("files"),
+            F.count_if(F.col("rows") == size).alias("full_files"), F.sum("rows").alias("rows")))
+    return clean.stack(found)
+
+
+def feed_sql_view(spark, sf):
+    """A repacked feed as a view over all files below its folder, asked in SQL."""
+    feeds.feed_view(spark, _repacked(spark, sf), "curbside_feed")
+    return spark.sql(
+        "SELECT dataset, count(*) AS n, count(licensenum) AS licensed, min(pu_dt) AS first_dt FROM curbside_feed GROUP BY dataset")
+
+
+def zone_load(spark, sf):
+    """The zone table from CSV and from Parquet."""
+    table = views.zones(spark, sf).select(F.col("locid").alias("OBJECTID"), "zone", "borough")
+    base = scratch_path(spark, "zones")
+    table.write.csv(f"{base}/zones.csv", header=True)
+    table.write.parquet(f"{base}/zones.parquet")
+    return clean.stack(feeds.read_zones(spark, f"{base}/zones.{kind}").withColumn("kind", F.lit(kind)) for kind in ("csv", "parquet"))
+
+
+def src_csv(spark, sf):
+    """Rows read back from CSV and gzipped CSV under a declared schema."""
+    table = views.trips_raw(spark, sf).select("dataset", "pu_dt", "pu_locid", "passengers", "dbasenum")
+    base, read = scratch_path(spark, "csv"), []
+    for codec in ("none", "gzip"):
+        table.write.csv(f"{base}/{codec}", header=True, compression=codec)
+        read.append(feeds.read_csv(spark, f"{base}/{codec}", table.schema).withColumn("codec", F.lit(codec)))
+    return clean.stack(read).groupBy("codec", "dataset").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("pu_locid").alias("sum_pu"), F.sum("passengers").cast("long").alias("sum_passengers"),
+        F.count("dbasenum").alias("bases"), F.max("pu_dt").alias("last_dt"))
+
+
 # --- profiling ---------------------------------------------------------------------------
 
 
@@ -252,6 +294,23 @@ def flag_to_bool(spark, sf):
     return rows.select("tpep_pickup_datetime", "store_and_fwd_flag")
 
 
+def location_names(spark, sf):
+    """Zone columns under other spellings, brought to one."""
+    rows = views.trips_raw(spark, sf).select("dataset", F.col("pu_locid").alias("PU_Location-ID"), F.col("do_locid").alias("DOlocationID"))
+    return feeds.normalise_location_names(rows).groupBy("dataset", "pulocationid").agg(
+        F.count(F.lit(1)).alias("n"), F.max("dolocationid").alias("last_do"))
+
+
+def constant_label(spark, sf):
+    rows = clean.with_label(views.feed(views.trips(spark, sf), "yellow"), "yellow")
+    return rows.groupBy("label", "pu_locid").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pick_columns(spark, sf):
+    """All columns of the anomaly counts but some."""
+    return clean.pick(_anomalies("yellow")(spark, sf), drop=("time_zero", "fare_negative"))
+
+
 # --- anomalies ---------------------------------------------------------------------------
 
 
@@ -335,6 +394,14 @@ def join_semi_top_zones(spark, sf):
     return zone_ops.keep_ids(zone_ops.keep_ids(arcs, top, "pu_locid"), top, "do_locid")
 
 
+# Zones that a report names, in its order; the last one is unknown.
+NAMED = (132, 138, 161, 7, 263, 999)
+
+
+def resolve_ids(spark, sf):
+    return zone_ops.resolve_ids(spark, NAMED, views.zones(spark, sf))
+
+
 # --- statistics --------------------------------------------------------------------------
 
 STATS = ["mean", "std", "min", "max", "frac_null", "q25", "q50", "q75", "iqr"]
@@ -573,7 +640,7 @@ def rolling_stats_latest(spark, sf):
     return _rolled(rolling.latest_stats(rows, "pu_borough", "pu_dt", SIX_HOURS))
 
 
-def _event_stream(spark, sf, start, slices: int = SLICES, closed_after: str | None = None) -> None:
+def _event_stream(spark, sf, start, slices: int = SLICES, closed_after: str | None = None, timed: bool = False) -> None:
     """Replay the events as JSON messages in time order, a micro-batch per slice.
 
     With ``closed_after`` one event of no borough of the table follows that long after the last one.
@@ -584,7 +651,7 @@ def _event_stream(spark, sf, start, slices: int = SLICES, closed_after: str | No
         later = F.col("pu_dt") + F.expr(f"INTERVAL {closed_after}")
         parts.append(rows.orderBy(F.desc("pu_dt")).limit(1).withColumns(
             {"pu_dt": later, "pu_borough": F.lit("END OF REPLAY"), "fare_usd": F.lit(0.0)}))
-    replay(spark, [events.encode_events(p) for p in parts], start)
+    replay(spark, [events.encode_events(p) for p in parts], start, timed=timed)
 
 
 def producer_messages(spark, sf):
@@ -630,6 +697,37 @@ def rolling_stats_top_zones(spark, sf):
     return _rolled(report.top_zones(spark, report.last_batch(spark)))
 
 
+def _broken(messages: DataFrame) -> DataFrame:
+    """The messages, of which one in seven by event time has lost its first character."""
+    return messages.withColumn("value", F.when(F.col("event_ms") % 7 == 0, F.expr("substring(value, 2)")).otherwise(F.col("value")))
+
+
+def rolling_report(spark, sf):
+    """Reports of a job with a processing-time trigger, over messages of which some are broken."""
+    state, table = RollingReport(scratch_path(spark, "rolling"), SIX_HOURS), ReportTable(scratch_path(spark, "reports"))
+
+    def start(stream, progress):
+        return report_job(_broken(stream), progress, state.update, lambda s, n: rolling_rows(state, s, n), table, "1 second")
+
+    _event_stream(spark, sf, start, timed=True)
+    value = lambda name: F.col("values")[name]
+    rows = table.read(spark).select(
+        "batch", "scope", "key", "rank", "good", "bad", value("seen").cast("long").alias("seen"), value("n").cast("long").alias("n"),
+        *[value(f"{v}_{m}").alias(f"{v}_{m}") for v in rolling.ATTRIBUTES for m in ("mean", "std")])
+    return _rolled(rows)
+
+
+def cluster_report(spark, sf):
+    """Reports of macro clusters; they depend on the order of events, so there is no SQL to equal them."""
+    state, table = ClusterTable(scratch_path(spark, "micro"), tau=TAU), ReportTable(scratch_path(spark, "reports"))
+
+    def start(stream, progress):
+        return cluster_job(stream, progress, state, views.BOROUGHS, table, trigger="1 second")
+
+    _event_stream(spark, sf, start, timed=True)
+    return table.read(spark).drop("reported_at").withColumn("values", F.to_json(F.col("values")))
+
+
 def rolling_windows(spark, sf):
     """Sliding windows of all events; a last event a day later moves the watermark past them."""
     out = scratch_path(spark, "windows")
@@ -742,6 +840,10 @@ def queries() -> dict[str, Query]:
         "sink_repartition": sink_repartition,
         "sink_format_matrix": sink_format_matrix,
         "format_report": format_report,
+        "repack_feed": repack_feed,
+        "feed_sql_view": feed_sql_view,
+        "zone_load": zone_load,
+        "src_csv": src_csv,
         "schema_profile": schema_profile,
         "schema_evolution": schema_evolution,
         "schema_final": schema_final,
@@ -757,6 +859,9 @@ def queries() -> dict[str, Query]:
         "label_fhv": label_fhv,
         "label_fhvhv": label_fhvhv,
         "flag_to_bool": flag_to_bool,
+        "location_names": location_names,
+        "constant_label": constant_label,
+        "pick_columns": pick_columns,
         **{f"anomaly_{name}": _anomalies(name) for name in feeds.FEEDS},
         "anomaly_fractions": anomaly_fractions,
         "anomaly_by_zone": anomaly_by_zone,
@@ -769,6 +874,7 @@ def queries() -> dict[str, Query]:
         "join_thresholds": join_thresholds,
         "join_zone_lookup": join_zone_lookup,
         "join_semi_top_zones": join_semi_top_zones,
+        "resolve_ids": resolve_ids,
         "colstats": colstats_query,
         "colstats_trip_time": colstats_trip_time,
         "agg_quantile": agg_quantile,
@@ -814,6 +920,8 @@ def queries() -> dict[str, Query]:
         "rolling_stats_borough": rolling_stats_borough,
         "rolling_stats_top_zones": rolling_stats_top_zones,
         "rolling_windows": rolling_windows,
+        "rolling_report": rolling_report,
+        "cluster_report": cluster_report,
         "bounded_replay": bounded_replay,
         "stream_features": stream_features,
         "decayed_weight": decayed_weight,

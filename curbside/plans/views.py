@@ -130,6 +130,22 @@ def monthly_units(spark: SparkSession, sf_dir: str, name: str, folder: str) -> N
     rows.drop("src_year").hint("rebalance", "unit").write.partitionBy("unit").parquet(folder)
 
 
+# Years by which the repacked feeds are moved, so that the start months fall into them.
+MOVED_YEARS = 20
+
+
+def drifting_units(spark: SparkSession, sf_dir: str, name: str, folder: str) -> None:
+    """Monthly files of a feed, twenty years on; whole numbers are doubles in the older half and longs in the newer."""
+    pickup, years = PICKUP_COLUMN[name], F.expr(f"INTERVAL {MOVED_YEARS} YEAR")
+    rows = raw_feed(spark, sf_dir, name).drop("src_year").withColumn(pickup, F.col(pickup) + years)
+    rows = rows.withColumn("unit", F.concat(F.lit(f"{name}_tripdata_"), F.date_format(pickup, "yyyy-MM"), F.lit(".parquet")))
+    whole = [f.name for f in feed_schema(name).fields if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)) and f.name in rows.columns]
+    half = F.lit(SPLIT).cast("timestamp_ntz") + years
+    for older, kind in ((True, "double"), (False, "bigint")):
+        part = rows.filter((F.col(pickup) < half) == older).withColumns({c: F.col(c).cast(kind) for c in whole})
+        part.hint("rebalance", "unit").write.mode("append").partitionBy("unit").parquet(folder)
+
+
 # Columns of the drifting history, per year of pickup.
 HISTORY = {
     1995: ["l_suppkey AS VendorID", "CAST(l_linenumber AS BIGINT) AS passenger_count", "l_tax AS mta_tax"],

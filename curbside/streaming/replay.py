@@ -29,13 +29,15 @@ def time_slices(events: DataFrame, ts: str, slices: int) -> list[DataFrame]:
 
 
 def replay(spark: SparkSession, parts: list[DataFrame],
-           start: Callable[[DataFrame, str], DataStreamWriter], files_per_trigger: int | None = None) -> None:
+           start: Callable[[DataFrame, str], DataStreamWriter], files_per_trigger: int | None = None,
+           timed: bool = False) -> None:
     """Append each part to a folder and run the query over what is new, from its checkpoint.
 
     ``start`` gets the stream and the checkpoint path and returns a configured writer. Every part is
     a separate run of the same query, so each one also restarts from the checkpoint. A part is one
     micro-batch unless ``files_per_trigger`` splits it; split parts lose their time order, so leave
-    it out for queries with a watermark shorter than a part.
+    it out for queries with a watermark shorter than a part. With ``timed`` the writer has its own
+    trigger, and a run is stopped once it has taken in all that is there.
     """
     folder, progress = scratch_path(spark, "replay"), scratch_path(spark, "progress")
     for part in parts:
@@ -44,6 +46,11 @@ def replay(spark: SparkSession, parts: list[DataFrame],
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
         stream = reader.parquet(folder)
-        query = start(stream, progress).trigger(availableNow=True).start()
-        query.awaitTermination()
+        writer = start(stream, progress)
+        if timed:
+            query = writer.start()
+            query.processAllAvailable()
+            query.stop()
+        else:
+            writer.trigger(availableNow=True).start().awaitTermination()
     remove(spark, folder)
