@@ -2,12 +2,15 @@
 
 Every line is content or boilerplate. The field scores a line by its own features and by the label of the line before;
 Viterbi decoding finds the best labelling of the whole document. A document stays if it passes the fixed rules and
-content lines hold at least ``MIN_SHARE`` of its word characters.
-
-The field is fitted by gradient ascent on the log-likelihood of labelled documents: all lines of a document of good
-quality count as content, all lines of a poor one as boilerplate. ``TRAIN_DOCS`` bounds the labelled documents used, an
-equal number of either quality, chosen by a hash of their id among those of ``TRAIN_CHARS`` characters at most; a chosen
-document is learned from whole. Without labels of both kinds, ``PRIOR`` is used as it is.
+content lines hold at least ``MIN_SHARE`` of its word characters. A line counts whole, however long it is.
+
+Labels are known for documents and not for lines, so the labels of lines are latent. Fitting takes turns: the field's own
+probabilities of the lines of a labelled document are tilted, no more than it takes, until lines of at least
+``KNOWN_SHARE`` of its word bytes are expected to be content (good quality) or boilerplate (poor); then the field climbs
+towards these probabilities. So a good document may hold boilerplate lines, and a poor one content. ``train_docs`` bounds
+the labelled documents used, an equal number of either quality, chosen by a hash of their id among those of
+``train_chars`` characters at most; a chosen document is learned from whole. Without labels of both kinds, ``PRIOR`` is
+used as it is.
 """
 
 from __future__ import annotations
@@ -24,12 +27,13 @@ TRAIN_DOCS, TRAIN_CHARS = 600, 1 << 14
 MIN_SHARE = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
-EPOCHS, RATE, PULL = 60, 0.5, 0.002
-LONG_LINE = 1 << 14  # bytes of a line scored as one step; a longer line is a chain of such steps
+ROUNDS, EPOCHS, RATE, PULL = 6, 15, 0.3, 0.002
+KNOWN_SHARE = 0.7
+MAX_TILT, HALVINGS = 60.0, 16
 
-FEATURES = ("bias", "symbols", "capitals", "marks", "digits", "repeats", "few words", "links")
+FEATURES = ("bias", "symbols", "capitals", "marks", "digits", "repeats", "few words", "links", "seen before")
 #: Weights of boilerplate before any fitting, and of (before, now) label pairs: 0 content, 1 boilerplate.
-PRIOR = (np.array([-2.0, 12.0, 4.0, 6.0, 3.0, 4.0, 0.5, 3.0]), np.array([[0.5, -0.5], [-0.5, 0.5]]))
+PRIOR = (np.array([-2.0, 12.0, 4.0, 6.0, 3.0, 4.0, 0.5, 3.0, 3.0]), np.array([[0.5, -0.5], [-0.5, 0.5]]))
 
 _SPACE, _SYMBOL, _UPPER, _LOWER, _MARK, _DIGIT, _FOLLOW = 1, 2, 4, 8, 16, 32, 64
 _KIND = np.zeros(256, np.uint8)
@@ -39,26 +43,26 @@ for _codes, _bit in ((b" \t\n\x0b\x0c\r", _SPACE), (SYMBOLS, _SYMBOL), (bytes(ra
     _KIND[list(_codes)] |= _bit
 
 
-def line_features(line: bytes, words: list[bytes]) -> list[float]:
-    """Shares of a line's characters and words, in the order of FEATURES."""
+def line_features(line: bytes, words: list[bytes], seen: bool = False) -> list[float]:
+    """Shares of a line's characters and words, in the order of FEATURES; ``seen`` in an earlier line of the document."""
     kinds = np.bincount(_KIND[np.frombuffer(line, np.uint8)], minlength=128)
     chars = max(1, len(line) - int(kinds[_SPACE]) - int(kinds[_FOLLOW]))
     letters = max(1, int(kinds[_UPPER] + kinds[_LOWER]))
     n = len(words)
     same = sum(a == b for a, b in pairwise(words))
     return [1.0, kinds[_SYMBOL] / chars, kinds[_UPPER] / letters, kinds[_MARK] / chars, kinds[_DIGIT] / chars,
-            same / max(1, n - 1), float(n < 3), min(1.0, (line.count(b"http") + line.count(b"www.")) / max(1, n) * 10)]
+            same / max(1, n - 1), float(n < 3), min(1.0, (line.count(b"http") + line.count(b"www.")) / max(1, n) * 10), float(seen)]
 
 
 def steps_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Features and word bytes of a document's lines; lines without a word have none."""
     rows, weights = [], []
+    earlier: set[bytes] = set()
     for line in text.split(b"\n"):
-        for at in range(0, len(line) or 1, LONG_LINE):
-            part = line[at : at + LONG_LINE]
-            if words := part.split():
-                rows.append(line_features(part, words))
-                weights.append(sum(map(len, words)))
+        if words := line.split():
+            rows.append(line_features(line, words, line in earlier))
+            weights.append(sum(map(len, words)))
+            earlier.add(line)
     return np.array(rows, float).reshape(-1, len(FEATURES)), np.array(weights, float)
 
 
@@ -83,61 +87,108 @@ def viterbi(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
     return np.array(out[::-1])
 
 
-def _gradient(x: np.ndarray, y: np.ndarray, weights: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the log-likelihood of labels y, by forward and backward sums."""
-    scores = np.stack([np.zeros(len(x)), x @ weights], axis=1)
-    forward = np.empty_like(scores)
-    forward[0] = scores[0]
-    for t in range(1, len(x)):
-        forward[t] = scores[t] + np.logaddexp(forward[t - 1, 0] + moves[0], forward[t - 1, 1] + moves[1])
-    backward = np.zeros_like(scores)
-    for t in range(len(x) - 2, -1, -1):
-        ahead = scores[t + 1] + backward[t + 1]
-        backward[t] = np.logaddexp(moves[:, 0] + ahead[0], moves[:, 1] + ahead[1])
-    total = np.logaddexp(*forward[-1])
-    one = np.exp(forward[:, 1] + backward[:, 1] - total)
-    to_moves = np.zeros((2, 2))
-    if len(x) > 1:
-        pair = forward[:-1, :, None] + moves + (scores + backward)[1:, None, :]
-        to_moves -= np.exp(pair - total).sum(axis=0)
-        np.add.at(to_moves, (y[:-1], y[1:]), 1)
-    return x.T @ (y - one), to_moves
-
-
-def fit(docs: list[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and moves from (text, quality) pairs."""
-    chains = []
+class Chains:
+    """Lines of many documents, sorted by place and then by document, the longest documents first.
+
+    So the lines at one place of all documents are neighbours, and a pass over chains takes a step for all of them.
+    """
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """``parts`` has features and sizes of each document's lines, at least one."""
+        self.order = sorted(range(len(parts)), key=lambda i: -len(parts[i][0]))
+        parts = [parts[i] for i in self.order]
+        lengths = np.array([len(x) for x, _ in parts])
+        self.widths = [int((lengths > t).sum()) for t in range(lengths[0])]
+        self.starts = np.concatenate([[0], np.cumsum(self.widths)])
+        self.chain = np.concatenate([np.arange(w) for w in self.widths])
+        place = np.concatenate([[0], np.cumsum(lengths)])[self.chain] + np.repeat(np.arange(len(self.widths)), self.widths)
+        self.x = np.concatenate([x for x, _ in parts])[place]
+        self.size = np.concatenate([s / s.sum() for _, s in parts])[place]
+        #: A line after the first of its document, and the line before it.
+        self.later = np.arange(self.widths[0], len(place))
+        self.before = self.later - np.repeat(self.widths[:-1], self.widths[1:])
+
+    def marginals(self, scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each line's probability of boilerplate, and the expected pairs of labels, by forward and backward sums."""
+        forward, backward = scores.copy(), np.zeros_like(scores)
+        for t in range(1, len(self.widths)):
+            now, before = slice(self.starts[t], self.starts[t + 1]), self.starts[t - 1]
+            a = forward[before : before + self.widths[t]]
+            forward[now] += np.logaddexp(a[:, :1] + moves[0], a[:, 1:] + moves[1])
+        for t in range(len(self.widths) - 1, 0, -1):
+            now, before = slice(self.starts[t], self.starts[t + 1]), self.starts[t - 1]
+            b = scores[now] + backward[now]
+            backward[before : before + self.widths[t]] = np.logaddexp(b[:, :1] + moves[:, 0], b[:, 1:] + moves[:, 1])
+        total = np.logaddexp(*(forward + backward)[: self.widths[0]].T)[self.chain]
+        one = np.exp(forward[:, 1] + backward[:, 1] - total)
+        pairs = forward[self.before][:, :, None] + moves + (scores + backward)[self.later][:, None, :]
+        return one, np.exp(pairs - total[self.later, None, None]).sum(axis=0)
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        return np.stack([np.zeros(len(self.x)), self.x @ weights], axis=1)
+
+    def constrained(self, weights: np.ndarray, moves: np.ndarray, poor: np.ndarray, known: float) -> tuple[np.ndarray, np.ndarray]:
+        """The marginals nearest to the field's whose expected share in each document is at least ``known``.
+
+        ``poor`` has one truth per chain. The nearest distribution adds to every line a multiple of its size, one factor
+        a document, which halving intervals finds; documents that meet the bound already have factor 0.
+        """
+        base = self.scores(weights)
+        mean = np.bincount(self.chain, self.size) / np.bincount(self.chain)
+        toward = np.where(poor, 1.0, -1.0)
+
+        def tilted(factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            scores = base.copy()
+            scores[:, 1] += (toward * factor / mean)[self.chain] * self.size
+            return self.marginals(scores, moves)
+
+        def enough(one: np.ndarray) -> np.ndarray:
+            share = np.bincount(self.chain, one * self.size)
+            return np.where(poor, share, 1 - share) >= known
+
+        low, high = np.zeros(len(poor)), np.where(enough(tilted(np.zeros(len(poor)))[0]), 0.0, MAX_TILT)
+        for _ in range(HALVINGS):
+            middle = (low + high) / 2
+            met = enough(tilted(middle)[0])
+            low, high = np.where(met, low, middle), np.where(met, middle, high)
+        return tilted(high)
+
+
+def fit(docs: list[tuple[str | None, int]], known: float = KNOWN_SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and moves from (text, quality) pairs, the labels of lines being latent."""
+    parts, poor = [], []
     for text, quality in docs:
-        x, _ = steps_of((text or "").encode())
+        x, size = steps_of((text or "").encode())
         if len(x):
-            chains.append((x, np.full(len(x), 1 - int(quality))))
+            parts.append((x, size))
+            poor.append(not quality)
     weights, moves = PRIOR[0].copy(), PRIOR[1].copy()
-    if len({int(y[0]) for _, y in chains}) < 2:
+    if len(set(poor)) < 2:
         return weights, moves
-    steps = sum(len(x) for x, _ in chains)
+    chains = Chains(parts)
+    poor = np.array(poor)[chains.order]
     speed_w, speed_m = np.zeros_like(weights), np.zeros_like(moves)
-    for _ in range(EPOCHS):
-        to_w, to_m = np.zeros_like(weights), np.zeros_like(moves)
-        for x, y in chains:
-            w, m = _gradient(x, y, weights, moves)
-            to_w += w
-            to_m += m
-        to_w = to_w / steps - PULL * (weights - PRIOR[0])
-        to_m = to_m / steps - PULL * (moves - PRIOR[1])
-        speed_w += to_w**2
-        speed_m += to_m**2
-        weights += RATE * to_w / (np.sqrt(speed_w) + 1e-9)
-        moves += RATE * to_m / (np.sqrt(speed_m) + 1e-9)
+    for _ in range(ROUNDS):
+        one, pairs = chains.constrained(weights, moves, poor, known)
+        for _ in range(EPOCHS):
+            own, own_pairs = chains.marginals(chains.scores(weights), moves)
+            to_w = chains.x.T @ (one - own) / len(own) - PULL * (weights - PRIOR[0])
+            to_m = (pairs - own_pairs) / len(own) - PULL * (moves - PRIOR[1])
+            speed_w += to_w**2
+            speed_m += to_m**2
+            weights += RATE * to_w / (np.sqrt(speed_w) + 1e-9)
+            moves += RATE * to_m / (np.sqrt(speed_m) + 1e-9)
     return weights, moves
 
 
-def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS,
+          train_chars: int = TRAIN_CHARS) -> tuple[np.ndarray, np.ndarray]:
     """Fit on ``train_docs`` labelled documents at most, half of either quality.
 
-    These come to the driver, so none is longer than ``TRAIN_CHARS`` characters.
+    These come to the driver, so none is longer than ``train_chars`` characters.
     """
     quality = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    short = docs.filter(F.char_length("text") <= TRAIN_CHARS).select("doc_id", "text")
+    short = docs.filter(F.char_length("text") <= train_chars).select("doc_id", "text")
     quality = quality.join(short.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64("doc_id")
     chosen = None
@@ -186,18 +237,22 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int(covered.sum())
 
 
+def line_labels(text: str, weights: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line that has a word: its label, 0 content and 1 boilerplate, and its word bytes."""
+    x, size = steps_of(text.encode())
+    return viterbi(np.stack([np.zeros(len(x)), x @ weights], axis=1), moves), size
+
+
 def content_share(text: str, weights: np.ndarray, moves: np.ndarray) -> float:
     """Share of word bytes in lines that the field marks as content; 0 without words."""
-    x, size = steps_of(text.encode())
-    if not len(x):
-        return 0.0
-    label = viterbi(np.stack([np.zeros(len(x)), x @ weights], axis=1), moves)
-    return float(size[label == 0].sum() / size.sum())
+    label, size = line_labels(text, weights, moves)
+    return float(size[label == 0].sum() / size.sum()) if len(size) else 0.0
 
 
-def judged(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, min_share: float = MIN_SHARE,
+           train_chars: int = TRAIN_CHARS) -> DataFrame:
     """Per row: the counts, base_failed, content_share and kept. Null texts count as empty, and fail."""
-    weights, moves = train(docs, labels, train_docs)
+    weights, moves = train(docs, labels, train_docs, train_chars)
 
     def work(batch: pa.RecordBatch) -> dict:
         rows = []
