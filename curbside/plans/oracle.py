@@ -170,7 +170,7 @@ HISTORY_FIELDS = [
     ("VendorID", "int32", "FALSE", "2000, 2001"),
     ("passenger_count", "int64", "FALSE", "1995, 2000, 2001"),
     ("passenger_count", "double", "FALSE", "1996, 1997, 1998, 1999"),
-    ("mta_tax", "double", "FALSE", "1995, 1996, 1997"),
+    ("mta_tax", "double", "FALSE", "1995, 1996, 1997, 2001"),
     ("congestion_surcharge", "double", "l_orderkey % 3 = 0", "1997"),
     ("congestion_surcharge", "double", "FALSE", "1998, 1999, 2000, 2001"),
     ("airport_fee", "double", "l_orderkey % 5 = 0", "1999"),

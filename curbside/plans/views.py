@@ -160,7 +160,7 @@ HISTORY = {
     2000: ["CAST(l_suppkey AS INT) AS VendorID", "CAST(l_linenumber AS BIGINT) AS passenger_count",
            "l_discount AS congestion_surcharge", "l_tax AS airport_fee"],
     2001: ["CAST(l_suppkey AS INT) AS VendorID", "CAST(l_linenumber AS BIGINT) AS passenger_count",
-           "l_discount AS congestion_surcharge", "l_tax AS Airport_fee"],
+           "l_discount AS congestion_surcharge", "l_tax AS Airport_fee", "l_tax AS mta_tax"],
 }
 HISTORY_COMMON = [
     "l_shipdate AS tpep_pickup_datetime", "CAST(l_partkey % 270 AS BIGINT) AS PULocationID",
@@ -169,8 +169,11 @@ HISTORY_COMMON = [
 
 
 def schema_history(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Write monthly files whose schema changes from year to year."""
+    """Write monthly files whose schema changes from year to year; a row of another year is an error."""
+    known = F.year("l_shipdate").isin(*HISTORY)
+    other = F.concat(F.lit("no columns are given for the year of "), F.coalesce(F.col("l_shipdate").cast("string"), F.lit("a null date")))
     lines = table(spark, sf_dir, "lineitem")
+    lines.filter(~F.coalesce(known, F.lit(False))).select(F.raise_error(other)).write.format("noop").mode("overwrite").save()
     unit = "CONCAT('yellow_tripdata_', date_format(l_shipdate, 'yyyy-MM'), '.parquet') AS unit"
     for year, columns in HISTORY.items():
         start, end = (F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz") for y in (year, year + 1))

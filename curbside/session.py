@@ -5,10 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# A side is broadcast only after its row count was checked against this bound.
-SMALL_ROWS = 200_000
+# A side is broadcast only after its rows and their bytes were checked against these bounds.
+SMALL_ROWS, SMALL_BYTES = 200_000, 64 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -50,9 +50,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; every partition counts its own."""
-    return df.count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: texts and binaries by their length, nested values by their JSON, others by their type."""
+    known = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
+    total = F.lit(16)
+    for field in df.schema.fields:
+        column = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(column)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(F.struct(column)))
+        else:
+            size = F.lit(known.get(type(field.dataType), 16))
+        total = total + F.coalesce(size, F.lit(0))
+    return total.cast("long")
+
+
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
+    """Whether the table has at most ``max_rows`` rows of ``max_bytes`` together; every partition counts its own."""
+    rows, size = df.select(row_bytes(df).alias("size")).agg(F.count(F.lit(1)), F.sum("size")).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def remove(spark: SparkSession, *paths: str) -> None:

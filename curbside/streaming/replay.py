@@ -53,4 +53,4 @@ def replay(spark: SparkSession, parts: list[DataFrame],
             query.stop()
         else:
             writer.trigger(availableNow=True).start().awaitTermination()
-    remove(spark, folder)
+    remove(spark, folder, progress)

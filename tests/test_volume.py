@@ -141,3 +141,12 @@ def test_null_keys_go_around_a_large_lookup(spark):
     for bound in (10, 1):
         assert {(r.v, r.name) for r in lookup(df, side, "k", bound).collect()} == want
     assert "Union" in lookup(df, side, "k", 1)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_few_long_rows_are_not_small(spark):
+    from curbside.session import is_small
+
+    rows = spark.range(10).select("id", F.expr("repeat('é', 100)").alias("odd `name`"), F.array("id").alias("list"))
+    assert is_small(rows) and is_small(rows.limit(0))
+    assert not is_small(rows, max_rows=9)
+    assert is_small(rows, max_bytes=4_000) and not is_small(rows, max_bytes=2_000)
