@@ -66,6 +66,8 @@ class Normalizer:
         self.trim, self.escape = spec.remove_extra_whitespaces, spec.escape_whitespaces
         self.prefix = spec.add_dummy_prefix and not suffix
         self.suffix = spec.add_dummy_prefix and suffix
+        # An empty map writes every character as it is, so a run of them is one step of the record.
+        self.runs = not spec.precompiled_charsmap and not self.trim
 
     def __call__(self, text: str) -> tuple[bytes, list[int]]:
         """Normalised bytes, and per byte (and for the end) the original byte it came from."""
@@ -73,6 +75,12 @@ class Normalizer:
         steps: list[tuple[bytes, int, int]] = []  # what is written, from where to where
         at = 0
         while at < len(data):
+            if self.runs:
+                stop = data.find(b" ", at)
+                stop = at + 1 if stop == at else len(data) if stop < 0 else stop
+                steps.append((data[at:stop], at, stop))
+                at = stop
+                continue
             hit = self.map.longest(data, at)
             if hit is None:
                 first = data[at]
@@ -148,20 +156,26 @@ class Model:
         self.edges = [np.array([i], "<u4").tobytes() if i >= 0 else b"" for i in (self.library.bos_id(), self.library.eos_id())]
 
     def _of_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids and ends in original bytes of words, each counted with one space before it."""
+        """Ids of words, and their pieces' ends projected through the record of each word's normalisation.
+
+        Places count one space before the word.
+        """
         lists = self.library.encode(words, num_threads=1)
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         ids = np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum()))
         ends = np.cumsum(self.sizes[ids])
         stops = np.cumsum(counts)
         before = np.concatenate([[0], ends])[stops - counts]
-        # The mark of three bytes stands for a space of one.
-        ends = ends - np.repeat(before, counts) - (len(_MARK) - 1)
-        expected = np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words))
-        if (ends[stops - 1] != expected).any():
-            raise ValueError("pieces do not cover their word")
-        # A piece that ends within the mark ends after its space.
-        id_bytes, end_bytes = ids.astype("<u4").tobytes(), np.maximum(ends, 1).astype("<u4").tobytes()
+        records = [self.normalizer(w) for w in words]
+        sizes = np.fromiter((len(normal) for normal, _ in records), np.int64, len(records))
+        if (ends[stops - 1] - before != sizes).any():
+            raise ValueError("pieces do not cover their normalised word")
+        # The records lie one after the other, each with a place more than its word has bytes.
+        places = np.fromiter((at for _, record in records for at in record), np.int64, int(sizes.sum()) + len(records))
+        first = np.cumsum(sizes + 1) - sizes - 1
+        # The word's mark is a space before it; what ends within the mark ends after that space.
+        ends = places[ends - np.repeat(before - first, counts)] + 1
+        id_bytes, end_bytes = ids.astype("<u4").tobytes(), ends.astype("<u4").tobytes()
         at = [0, *(stops * 4).tolist()]
         return [(id_bytes[a:b], end_bytes[a:b]) for a, b in zip(at, at[1:], strict=False)]
 

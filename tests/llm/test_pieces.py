@@ -68,3 +68,25 @@ def test_rows(spark):
     spans = full.filter("doc_id is null").first()
     assert spans.ends[-1] == 4 and len(spans.starts) == len(spans.ends) == len(spans.ids) - 2
     assert pieces.digests(docs.limit(0), PATH).count() == 0
+
+
+def test_runs_of_an_empty_map_are_recorded_like_characters():
+    import copy
+    import random
+
+    import public_tokenizers
+
+    from curbside.llm.pieces import MARK, Model
+
+    model = Model(public_tokenizers.path("piece_bpe_32k.model"))
+    assert model.normalizer.runs and model.by_word
+    slow = copy.copy(model.normalizer)
+    slow.runs = False
+    rng = random.Random(8)
+    for _ in range(500):
+        text = "".join(rng.choice(["a", "bc", "é", "日本", "𝒳", " ", "  ", "\n", "\t", MARK]) for _ in range(rng.randrange(12)))
+        assert model.normalizer(text) == slow(text)
+        ids, ends = model.encode(text)
+        if text:
+            whole, same = model.encode_whole(text)
+            assert ids == whole and ends.tolist() == same.tolist()
