@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from curbside.llm.common import staged
 
 K, SCALE, EVERY = 20, 64, 20
-CANDIDATES, QUERIES = 16_384, 512  # rows of a block, about
+CANDIDATES, QUERIES = 16_384, 4_096  # rows of a block, about; a candidate is sent once per block of queries
+WALK = 512  # queries of a block that walk the lists together; bounds the table of scores
 SPLIT = 64  # the first walk goes through this part of every list, each further one four times as far
 
 
@@ -31,12 +32,21 @@ def _exact(rows: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows.astype(kind), queries.astype(kind)
 
 
-def threshold_topk(rows: np.ndarray, queries: np.ndarray, barred: list[int], k: int) -> tuple[list[np.ndarray], list[np.ndarray], int]:
-    """Per query the k best rows (ties: the first), their scores, and the depth reached; row ``barred`` (or -1) is out."""
+def sorted_lists(rows: np.ndarray) -> np.ndarray:
+    """Row numbers in ascending order of each dimension."""
+    return np.argsort(rows, axis=0, kind="stable")
+
+
+def threshold_topk(rows: np.ndarray, queries: np.ndarray, barred: list[int], k: int,
+                   order: np.ndarray | None = None) -> tuple[list[np.ndarray], list[np.ndarray], int]:
+    """Per query the k best rows (ties: the first), their scores, and the depth reached; row ``barred`` (or -1) is out.
+
+    ``order`` has the rows' sorted lists, if they are known.
+    """
     n, width = rows.shape
     m = len(queries)
+    order = sorted_lists(rows) if order is None else order
     rows, queries = _exact(rows, queries)
-    order = np.argsort(rows, axis=0, kind="stable")
     values = np.take_along_axis(rows, order, axis=0)
     low = np.iinfo(np.int64).min if rows.dtype == np.int64 else -np.inf
     up = [np.flatnonzero(queries[:, j] > 0) for j in range(width)]
@@ -129,7 +139,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, candidates_block
                 a, b = np.searchsorted(ids, [vec_id, vec_id + 1])
                 own.append(next((r for r in range(a, b) if (x[r] == q[i]).all()), -1))
             barred = [r if r >= 0 and copies[r] == 1 else -1 for r in own]
-            best, scores, _ = threshold_topk(x, q, barred, k)
+            order = sorted_lists(x)
+            best, scores = [], []
+            for at in range(0, len(q), WALK):
+                found, points, _ = threshold_topk(x, q[at : at + WALK], barred[at : at + WALK], k, order)
+                best += found
+                scores += points
             for i, (found, points) in enumerate(zip(best, scores, strict=True)):
                 left_over = copies[found] - (found == own[i])
                 out["query_id"] += [query_ids[i]] * len(found)

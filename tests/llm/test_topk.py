@@ -29,8 +29,9 @@ def vectors(seed):
     return rows
 
 
-@pytest.mark.parametrize("blocks", [(1 << 14, 512), (50, 7)])
-def test_equals_brute_force(spark, blocks):
+@pytest.mark.parametrize("blocks,walk", [((1 << 14, 512), 512), ((50, 7), 3)])
+def test_equals_brute_force(spark, monkeypatch, blocks, walk):
+    monkeypatch.setattr(topk, "WALK", walk)
     rows = vectors(1)
     found = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3))
     got = topk.nearest(found, found.filter("vec_id % 4 = 0"), 5, *blocks).collect()
