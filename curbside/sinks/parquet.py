@@ -10,6 +10,9 @@ from curbside.session import checkpointed, remove, scratch_path, small_side
 
 # Fixed value: compression level of repacked files.
 ZSTD_LEVEL = 6
+# A task fills as many small files as hold this many rows, while there are tasks enough for all cores.
+TASK_ROWS = 500_000
+TASKS_PER_CORE = 4
 
 
 def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
@@ -49,7 +52,7 @@ def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
     plan = checkpointed(runs.join(bases, keys).drop("_rows"))
 
     total = plan.agg(F.max(F.col("_base") + F.col("_files"))).first()[0] or 0
-    files_per_task = max(1, -(-total // max_tasks))
+    files_per_task = files_a_task(total, rows_per_file, spark.sparkContext.defaultParallelism, max_tasks)
     tasks = max(1, -(-total // files_per_task))
     position = F.col("_before") + F.col("_row") - F.col("_first")
     numbered = staged.join(small_side(plan), ["_file", *keys]).withColumn(
@@ -73,6 +76,12 @@ def repack(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int, *,
     remove(spark, stage)
 
 
+def files_a_task(files: int, rows_per_file: int, cores: int, max_tasks: int) -> int:
+    """How many files each task writes."""
+    together = min(TASK_ROWS // rows_per_file, files // (TASKS_PER_CORE * cores))
+    return max(1, together, -(-files // max_tasks))
+
+
 def rebalance(df: DataFrame, dst: str, keys: Sequence[str], rows_per_file: int) -> None:
     """One-shuffle variant with files of at most ``rows_per_file`` rows, sized by AQE."""
     (

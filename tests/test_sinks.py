@@ -1,5 +1,6 @@
 import glob
 import math
+import os
 from collections import Counter
 
 import pyarrow.parquet as pq
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbside.sinks import formats
-from curbside.sinks.parquet import file_rows, rebalance, repack
+from curbside.sinks.parquet import file_rows, files_a_task, rebalance, repack
 
 
 def check_layout(spark, path, keys, rows_per_file, want):
@@ -50,6 +51,19 @@ def test_hot_key_null_keys_and_exact_sizes(spark, tmp_path, max_tasks):
     check_layout(spark, dst, ["year"], 100, want)
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    """A task costs more than a small file; files of 100 rows are written several to a task, on all cores."""
+    df = spark.range(0, 40_000, numPartitions=4).select((F.col("id") % 3).cast("int").alias("year"), F.col("id").alias("v"))
+    dst = str(tmp_path / "out")
+    repack(df, dst, ["year"], 100)
+    check_layout(spark, dst, ["year"], 100, Counter(tuple(r) for r in df.collect()))
+    names = [os.path.basename(f) for f in glob.glob(f"{dst}/**/*.parquet", recursive=True)]
+    tasks = {name.split("-")[1] for name in names}
+    cores = spark.sparkContext.defaultParallelism
+    assert len(names) == 402 and cores <= len(tasks) <= 8 * cores < 402
+    assert files_a_task(100_000, 2000, 12, 20_000) == 250 and files_a_task(100, 2_000_000, 1, 20_000) == 1
+
+
 def test_destination_is_replaced_and_preprocess_runs(spark, tmp_path):
     dst = str(tmp_path / "out")
     repack(spark.range(10).withColumn("k", F.lit(1)), dst, ["k"], 4)
