@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from curbside.functions.columns import epoch_millis, finite, iso_format, iso_parse, minutes_between
 from curbside.operators.zones import with_boroughs
@@ -67,23 +67,43 @@ def encode_events(events: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(messages: DataFrame) -> DataFrame:
+    """The JSON values as one struct ``e``."""
+    return messages.select(
+        F.from_json("value", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e")
+    )
+
+
+def _bad() -> Column:
+    return F.col("e").isNull() | F.col("e._bad").isNotNull()
+
+
+def _typed(fields: DataFrame) -> DataFrame:
+    """Numbers, ids and times of the fields read as text."""
+    numbers = {c: finite(F.col(c).try_cast("double")) for c in ("distance_miles", "fare_usd", "tip_usd", "duration_minutes")}
+    ids = {c: finite(F.col(c).try_cast("double")).try_cast("int") for c in ("pu_locid", "do_locid")}
+    times = {c: iso_parse(F.col(c)) for c in ("pu_dt", "do_dt")}
+    return fields.withColumns(numbers | ids | times)
+
+
 def decode_events(messages: DataFrame, observe: str | None = "decoded_messages") -> DataFrame:
     """Events from JSON values; only messages that are no JSON objects are skipped.
 
     Numbers may come as text, and zone ids as 132.0; what is no finite number is null. The counts of
     good and bad messages are reported as query metrics under the name ``observe``.
     """
-    parsed = messages.select(
-        F.from_json("value", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e")
-    )
-    bad = F.col("e").isNull() | F.col("e._bad").isNotNull()
+    parsed = _parsed(messages)
     if observe:
-        parsed = parsed.observe(observe, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
-    good = parsed.filter(~bad).select("e.*").drop("_bad")
-    numbers = {c: finite(F.col(c).try_cast("double")) for c in ("distance_miles", "fare_usd", "tip_usd", "duration_minutes")}
-    ids = {c: finite(F.col(c).try_cast("double")).try_cast("int") for c in ("pu_locid", "do_locid")}
-    times = {c: iso_parse(F.col(c)) for c in ("pu_dt", "do_dt")}
-    return good.withColumns(numbers | ids | times)
+        parsed = parsed.observe(observe, F.count_if(~_bad()).alias("good"), F.count_if(_bad()).alias("bad"))
+    return _typed(parsed.filter(~_bad()).select("e.*").drop("_bad"))
+
+
+def decode_all(messages: DataFrame) -> DataFrame:
+    """A row per message: the event of ``decode_events`` and ``good``, whether the message could be read.
+
+    Without a filter on it each value is parsed once.
+    """
+    return _typed(_parsed(messages).select("e.*", (~_bad()).alias("good")).drop("_bad"))
 
 
 def in_pickup_order(events: DataFrame, parts: int) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from curbside.operators.decay import with_features
 from curbside.operators.rolling import ATTRIBUTES
+from curbside.session import remove, scratch_path
 from curbside.streaming.clusters import MACRO_K, REPORT_TRIGGER as CLUSTER_TRIGGER, macro_clusters, macro_report
-from curbside.streaming.events import decode_events
+from curbside.streaming.events import decode_all
 from curbside.streaming.frozen import ClusterTable
 from curbside.streaming.rolling import REPORT_TRIGGER, RollingReport
 
@@ -74,15 +75,17 @@ def report_job(messages: DataFrame, progress: str, update: Callable[[DataFrame,
     """
 
     def take(batch: DataFrame, number: int) -> None:
-        batch.persist()
+        # Messages are read and parsed once; the state reads their events from storage as often as it needs them.
+        spark, path = batch.sparkSession, scratch_path(batch.sparkSession, "decoded")
+        decoded = decode_all(batch)
         try:
-            events = decode_events(batch, observe=None).persist()
-            total, good = batch.count(), events.count()
-            update(events, number)
-            table.append(rows(batch.sparkSession, number), number, good, total - good)
-            events.unpersist()
+            decoded.write.parquet(path)
+            kept = spark.read.schema(decoded.schema).parquet(path)
+            total, good = kept.agg(F.count(F.lit(1)), F.count_if("good")).first()
+            update(kept.filter("good").drop("good"), number)
+            table.append(rows(spark, number), number, good, total - good)
         finally:
-            batch.unpersist()
+            remove(spark, path)
 
     return messages.writeStream.foreachBatch(take).option("checkpointLocation", progress).trigger(processingTime=trigger)
 

@@ -1,6 +1,9 @@
+import glob
+
 from pyspark.sql import functions as F
 
-from curbside.session import scratch_path
+from curbside.session import scratch_path, shared_dir
+from curbside.streaming.events import decode_all, decode_events
 from curbside.streaming.report import ReportTable, report_job, rolling_rows
 from curbside.streaming.replay import replay
 from curbside.streaming.rolling import REPORT_TRIGGER, RollingReport
@@ -30,6 +33,31 @@ def test_reports_of_a_timed_job(spark):
     assert all(r.reported_at is not None for r in rows)
 
 
+def test_messages_are_parsed_once(spark):
+    """The state may read a batch's events several times; they come from storage, which is cleared after the batch."""
+    seen = []
+
+    def update(events, number):
+        plan = events._jdf.queryExecution().toString()
+        seen.append(("from_json" in plan, events.count(), events.filter("pu_borough = 'A'").count(), sorted(events.columns)))
+
+    none = spark.createDataFrame([], "scope string, key string, rank int, values map<string,double>")
+    replay(spark, [messages(spark, 0)], lambda s, p: report_job(
+        s, p, update, lambda spark, n: none, ReportTable(scratch_path(spark, "reports")), "1 second"), timed=True)
+    assert seen == [(False, 6, 3, sorted(decode_events(messages(spark, 0)).columns))]
+    assert not glob.glob(f"{shared_dir(spark)}/curbside/decoded-*")
+
+
+def test_decoded_with_the_bad_ones(spark):
+    odd = ['{"fare_usd":"NaN","pu_locid":"132.0","pu_dt":"no time"}', "[]", "3", '"x"', "{}", "", " "]
+    rows = messages(spark, 0).union(spark.createDataFrame([(v,) for v in odd], "value string"))
+    every = decode_all(rows)
+    good = sorted(map(str, decode_events(rows, observe=None).collect()))
+    assert sorted(map(str, every.filter("good").drop("good").collect())) == good
+    assert every.count() == 15 and every.filter("good IS NULL").count() == 0
+    assert decode_all(messages(spark, 0))._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_repeated_batch_replaces_its_report(spark):
     table = ReportTable(scratch_path(spark, "reports"))
     rows = spark.range(3).select(F.lit("zone").alias("scope"), F.col("id").alias("key"), F.lit(1).alias("rank"),
