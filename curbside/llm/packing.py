@@ -7,7 +7,8 @@ and short ones mix; each group is packed on its own.
 
 Tokenizing: a space between two characters that are no white space always begins a token of the byte-level pattern, so a
 text's ids are those of its units, and units are kept. Latin units are looked up in the same vocabulary's rank table,
-which is faster than the tokenizer itself and gives the same ids; all others go through the tokenizer.
+which is faster than the tokenizer itself and gives the same ids; all others go through the tokenizer. A text that is all
+Latin-1 goes through the rank table at once, which is faster still than its units: most units of a corpus are seen once.
 """
 
 from __future__ import annotations
@@ -30,7 +31,24 @@ LENGTH, OPEN, GROUP, END = 2048, 1024, 500_000, 0
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _ODD = re.compile(r" \s|\s |\A | \Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_LATIN_END = "ɐ"
+_LATIN_END, _LONGEST = "ɐ", 256
+_SPACES = [c for c in map(chr, range(256)) if c.isspace() and c != " "]
+
+
+def plain(text: str) -> bool:
+    """Whether the text is all Latin-1, of single spaces between units that begin and end with other than white space.
+
+    Its units are short, so no token of the pattern is long, and merging takes no longer than the text.
+    """
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    if "  " in text or text[:1] == " " or text[-1:] == " ":
+        return False
+    if any(c in text and (" " + c in text or c + " " in text) for c in _SPACES):
+        return False
+    return max(map(len, text.split(" "))) < _LONGEST
 
 
 class Encoder:
@@ -56,7 +74,7 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.ranked is not None and len(text) <= 256 and max(text) < _LATIN_END:
+        if self.ranked is not None and len(text) <= _LONGEST and max(text) < _LATIN_END:
             ids = self.ranked.encode_ordinary(text)
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -65,6 +83,8 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):  # what surrounds such a string may depend on it
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.ranked is not None and plain(text):
+            return array("I", self.ranked.encode_ordinary(text)).tobytes()
         units = _CUT.split(text) if _ODD.search(text) else text.split(" ")
         return self._ids(units[0]) + b"".join(self.spaced.get(units[1:]))
 

@@ -29,6 +29,20 @@ def test_ids_equal_the_tokenizers(plain, spark, sf):
         assert encoder.encode(text) == array("I", plain(text)).tobytes(), text[:80]
 
 
+def test_latin_texts_are_encoded_at_once(plain):
+    rng = random.Random(4)
+    parts = ["a", "the", "é", "ß", "ÿ", "'s", "7", "½", "\n", "\t", "\x1c", "\x85", "\xa0", "§§", "x" * 80, ".\n\n"]
+    texts = [" ".join("".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(1 + i % 9)) for i in range(400)]
+    encoder = packing.Encoder(JSON, RANKS)
+    at_once = [t for t in texts if packing.plain(t)]
+    texts += [" ".join(["word", "Größe.\nÉté"] * 200)]
+    for text in texts:
+        assert encoder.encode(text) == array("I", plain(text)).tobytes(), text[:80]
+    assert 0 < len(at_once) < 400 and not encoder.spaced.known.keys() & set(texts[-1].split(" "))
+    assert not any(map(packing.plain, ["日本", "a  b", " a", "a ", "a\n b", "a \xa0b", "x" * 300, "œ"]))
+    assert packing.plain("") and packing.plain("x\ny z")
+
+
 def test_special_strings_have_their_own_id(plain):
     assert plain("<|endoftext|>") == [50256] and packing.Encoder(JSON, RANKS).encode("<|endoftext|>") == array("I", [50256]).tobytes()
 
